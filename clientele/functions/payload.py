@@ -5,22 +5,41 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.plans.specs import JSON, TIME, Field
 
-_HEAD = re.compile(r"^(=?)([^.\[]+)(.*)$")
+_PATH = re.compile(r"^(=?)(\w+)(\[0\])?(?:\.(\w+))?$")
 
 
-def split_path(path: str) -> tuple[bool, str, str]:
-    """``'=a[0].b'`` becomes (scalar only, top-level key, rest of the path)."""
-    scalar, head, rest = _HEAD.match(path).groups()
-    return scalar == "=", head, rest
+def split_path(path: str) -> tuple[bool, str, bool, str | None]:
+    """``'a[0].b'`` becomes (scalar only, top-level key, first of a list, key below)."""
+    scalar, head, first, below = _PATH.match(path).groups()
+    return scalar == "=", head, first is not None, below
 
 
-def top_level_keys(fields: Iterable[Field]) -> list[str]:
-    return sorted({split_path(p)[1] for f in fields for p in f.paths})
+def parse_payload(df: DataFrame, fields: Iterable[Field], corrupt: str) -> DataFrame:
+    """Parse ``raw`` once, and each nested value that is needed once more.
+
+    ``_doc`` holds every top-level value as text. A nested value under ``key`` becomes
+    ``_in_key``: a struct of the wanted sub-keys, or a list of such structs.
+    """
+    paths = [split_path(p) for f in fields for p in f.paths]
+    heads = sorted({head for _, head, _, _ in paths})
+    schema = ", ".join([f"`{h}` string" for h in heads] + [f"`{corrupt}` string"])
+    parsed = df.withColumn(
+        "_doc", F.from_json("raw", schema, {"columnNameOfCorruptRecord": corrupt})
+    )
+    nested = {}
+    for head in heads:
+        below = sorted({b for _, h, _, b in paths if h == head and b})
+        if below:
+            inner = "struct<" + ",".join(f"`{b}`:string" for b in below) + ">"
+            listed = any(first for _, h, first, _ in paths if h == head)
+            shape = f"array<{inner}>" if listed else inner
+            nested[f"_in_{head}"] = F.from_json(F.col("_doc").getField(head), shape)
+    return parsed.withColumns(nested) if nested else parsed
 
 
 def iso_timestamp(text: Column) -> Column:
@@ -31,19 +50,21 @@ def iso_timestamp(text: Column) -> Column:
     return F.when(text.rlike(r"^\d{4}-\d{2}-\d{2}"), text.try_cast("timestamp"))
 
 
-def path_value(parsed: Column, path: str) -> Column:
-    scalar, head, rest = split_path(path)
-    value = parsed.getField(head)
-    if rest:
-        return F.get_json_object(value, "$" + rest)
+def path_value(path: str) -> Column:
+    """The text at ``path`` in a frame made by ``parse_payload``."""
+    scalar, head, first, below = split_path(path)
+    if below:
+        nested = F.col(f"_in_{head}")
+        return (F.get(nested, F.lit(0)) if first else nested).getField(below)
+    value = F.col("_doc").getField(head)
     if scalar:
         return F.when(~value.rlike(r"^\s*[\{\[]"), value)
     return value
 
 
-def field_column(parsed: Column, field: Field) -> Column:
-    """One typed column out of a payload whose top-level values are kept as text."""
-    values = [path_value(parsed, p) for p in field.paths]
+def field_column(field: Field) -> Column:
+    """One typed column: the first path that has a value."""
+    values = [path_value(p) for p in field.paths]
     if field.type == TIME:
         values = [iso_timestamp(v) for v in values]
     text = F.coalesce(*values) if len(values) > 1 else values[0]
@@ -56,6 +77,6 @@ def field_column(parsed: Column, field: Field) -> Column:
     return value.alias(field.name)
 
 
-def blank(column: str | Column) -> Column:
+def blank(column: str) -> Column:
     """True for NULL and for the empty string."""
-    return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")) == ""
+    return F.coalesce(F.col(column), F.lit("")) == ""

@@ -60,24 +60,21 @@ def _per_type(files: DataFrame, *keys: str) -> DataFrame:
 def file_stats(files: DataFrame) -> DataFrame:
     """Totals over all files; files are first counted per type and contact."""
     per_contact = _per_type(files, "contact_id")
-    contacts = per_contact.select("contact_id").distinct().agg(
-        F.count("contact_id").alias("contacts_with_files")
-    )
-    totals = (
-        per_contact.groupBy("type")
-        .agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
-        .agg(
-            F.sum("n").alias("total_files"),
-            F.sum("bytes").alias("total_size_bytes"),
-            _type_map("n").alias("files_by_type"),
-        )
+    types = per_contact.groupBy("type").agg(F.sum("n").alias("n"), F.sum("bytes").alias("bytes"))
+    contacts = per_contact.select("contact_id").distinct()
+    seen = contacts.agg(F.count("contact_id").alias("contacts"))
+    parts = types.unionByName(seen, allowMissingColumns=True)
+    is_type = F.col("type").isNotNull()
+    entries = F.array_sort(F.collect_list(F.when(is_type, F.struct("type", "n"))))
+    totals = parts.agg(
+        F.sum("n").alias("total_files"),
+        F.sum("bytes").alias("total_size_bytes"),
+        F.sum("contacts").alias("contacts_with_files"),
+        F.map_from_entries(entries).alias("files_by_type"),
     )
     size, number = F.col("total_size_bytes"), F.col("total_files")
     average = F.round(size.cast("decimal(38,0)") / number.cast("decimal(19,0)"), 2)
-    # Both sides are single rows.
-    return totals.withColumn("_one", F.lit(1)).join(
-        contacts.withColumn("_one", F.lit(1)), "_one"
-    ).select(
+    return totals.select(
         "total_files", "total_size_bytes", _megabytes(size).alias("total_size_mb"),
         "contacts_with_files", average.cast("decimal(38,2)").alias("avg_file_size_bytes"),
         "files_by_type",

@@ -5,48 +5,27 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.functions.payload import field_column, iso_timestamp, top_level_keys
+from clientele.functions.payload import field_column, iso_timestamp, parse_payload
 from clientele.plans.specs import Entity
 
 _CORRUPT = "_corrupt"
 
 
-def _parse(records: DataFrame, entity: Entity) -> DataFrame:
-    """Parse each payload once, keeping every needed top-level value as text."""
-    keys = top_level_keys(entity.fields)
-    schema = ", ".join([f"`{k}` string" for k in keys] + [f"`{_CORRUPT}` string"])
-    parsed = F.from_json("raw", schema, {"columnNameOfCorruptRecord": _CORRUPT})
-    return records.withColumn("_doc", parsed)
-
-
 def flatten(records: DataFrame, entity: Entity, keep: tuple[str, ...] = ()) -> DataFrame:
     """Typed columns of ``entity`` plus the payload itself; ``keep`` passes columns through."""
-    parsed = _parse(records, entity)
-    doc = F.col("_doc")
-    return parsed.select(*keep, *[field_column(doc, f) for f in entity.fields], "raw")
+    parsed = parse_payload(records, entity.fields, _CORRUPT)
+    return parsed.select(*keep, *[field_column(f) for f in entity.fields], "raw")
 
 
-def split_records(
-    records: DataFrame, entity: Entity, keep: tuple[str, ...] = ()
-) -> tuple[DataFrame, DataFrame]:
-    """(typed rows, rejected records with a ``reason``).
+def with_reason(records: DataFrame, entity: Entity, keep: tuple[str, ...] = ()) -> DataFrame:
+    """Typed rows with the ``reason`` a record is rejected for, NULL for a good one.
 
     A record is rejected if it is not a JSON object or lacks a key column; the rest load on.
     """
-    marked = _with_reason(records, entity, keep)
-    good = marked.filter("reason IS NULL").drop("reason")
-    bad = marked.filter("reason IS NOT NULL").select(*keep, "raw", "reason")
-    return good, bad
-
-
-def _with_reason(records: DataFrame, entity: Entity, keep: tuple[str, ...]) -> DataFrame:
-    parsed = _parse(records, entity)
-    doc = F.col("_doc")
+    parsed = parse_payload(records, entity.fields, _CORRUPT)
+    broken = F.col("_doc").isNull() | F.col("_doc").getField(_CORRUPT).isNotNull()
     typed = parsed.select(
-        *keep,
-        *[field_column(doc, f) for f in entity.fields],
-        "raw",
-        (doc.isNull() | doc.getField(_CORRUPT).isNotNull()).alias("_broken"),
+        *keep, *[field_column(f) for f in entity.fields], "raw", broken.alias("_broken")
     )
     keyless = F.lit(False)
     for column in entity.key:
@@ -55,9 +34,17 @@ def _with_reason(records: DataFrame, entity: Entity, keep: tuple[str, ...]) -> D
     return typed.withColumn("reason", reason).drop("_broken")
 
 
+def good_rows(marked: DataFrame) -> DataFrame:
+    return marked.filter("reason IS NULL").drop("reason")
+
+
+def rejected_rows(marked: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
+    return marked.filter("reason IS NOT NULL").select(*keep, "raw", "reason")
+
+
 def load_outcome(records: DataFrame, entity: Entity) -> DataFrame:
     """How many records load and how many are rejected, by reason."""
-    marked = _with_reason(records, entity, ())
+    marked = with_reason(records, entity)
     outcome = F.coalesce(F.concat(F.lit("rejected: "), "reason"), F.lit("loaded"))
     return marked.groupBy(outcome.alias("outcome")).agg(F.count("*").alias("records"))
 
@@ -69,8 +56,12 @@ def parse_timestamps(df: DataFrame, column: str, name: str) -> DataFrame:
 def delta_since(rows: DataFrame, since: str) -> DataFrame:
     """Rows created or modified at or after ``since``; an unparseable ``since`` keeps all."""
     moment = iso_timestamp(F.lit(since))
-    changed = (F.col("created_at") >= moment) | (F.col("updated_at") >= moment)
-    return rows.filter(moment.isNull() | changed)
+
+    def reached(column: str):
+        # Cast the constant, not the column, so that the comparison reaches the Parquet scan.
+        return F.col(column) >= moment.cast(rows.schema[column].dataType)
+
+    return rows.filter(moment.isNull() | reached("created_at") | reached("updated_at"))
 
 
 def tag_links(contacts: DataFrame) -> DataFrame:

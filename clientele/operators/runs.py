@@ -11,14 +11,11 @@ UNFINISHED: tuple[str, ...] = ("pending", "running", "failed")
 
 
 def for_run(df: DataFrame, run_id: int | None, runs: DataFrame | None = None) -> DataFrame:
-    """Rows of one run; with ``run_id`` left out, of the latest run in ``runs``.
-
-    The latest run is a single row, so its broadcast is bounded.
-    """
+    """Rows of one run; with ``run_id`` left out, of the latest run in ``runs``."""
     if run_id is not None:
         return df.filter(F.col("run_id") == run_id)
-    latest = runs.orderBy(F.desc("started_at"), F.desc("id")).limit(1)
-    return df.join(F.broadcast(latest.select(F.col("id").alias("run_id"))), "run_id", "left_semi")
+    latest = runs.orderBy(F.desc("started_at"), F.desc("id")).limit(1).select("id")
+    return df.filter(F.col("run_id") == latest.scalar())
 
 
 def run_metrics(runs: DataFrame, requests: DataFrame) -> DataFrame:

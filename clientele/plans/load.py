@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.operators.flatten import delta_since, split_records
+from clientele.operators.flatten import delta_since, good_rows, with_reason
 from clientele.operators.merge import latest_per_key, merge_entity
 from clientele.plans.specs import ENTITIES, LOAD_ORDER, Entity
 from clientele.sources.versions import VersionedTable
@@ -40,21 +41,27 @@ def load_entity(
     """Flatten, filter, merge and switch to the new version; (loaded, rejected) counts.
 
     ``records`` has ``raw`` and, where records of a key may repeat, ``seq`` in arrival order.
+    The typed rows are staged as Parquet first: the payloads are parsed once although the merge
+    reads them twice, and the rejected ones stay there with their reason.
     """
     order = ("seq",) if "seq" in records.columns else ()
-    good, bad = split_records(records, entity, keep=order)
+    folder = f"{store}/staged/{entity.name}/{uuid.uuid4().hex}"
+    seen = Observation()
+    good = F.col("reason").isNull()
+    with_reason(records, entity, keep=order).observe(
+        seen, F.count_if(good).alias("loaded"), F.count_if(~good).alias("rejected")
+    ).write.parquet(folder)
+    fresh = good_rows(spark.read.parquet(folder))
     if since and "updated_at" in entity.columns:
-        good = delta_since(good, since)
+        fresh = delta_since(fresh, since)
     table = VersionedTable(spark, f"{store}/{entity.name}")
     current = table.current()
     if current is None:
-        merged = latest_per_key(good, entity.key, order).drop(*order) if order else good
+        merged = latest_per_key(fresh, entity.key, order).drop(*order) if order else fresh
     else:
-        merged = merge_entity(current, good, entity, order)
+        merged = merge_entity(current, fresh, entity, order)
     table.write(merged)
-    tried = good.select(F.lit(1).alias("ok")).unionByName(bad.select(F.lit(0).alias("ok")))
-    counts = tried.agg(F.count_if(F.col("ok") == 1), F.count_if(F.col("ok") == 0)).first()
-    return counts[0], counts[1]
+    return seen.get["loaded"], seen.get["rejected"]
 
 
 def ordered_load(

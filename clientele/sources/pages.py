@@ -26,13 +26,17 @@ def unwrap_pages(pages: DataFrame) -> DataFrame:
     The first envelope key that holds a list wins; a page of unknown shape gives no rows.
     """
     is_list = F.col("value").rlike(r"^\s*\[")
-    bare = F.when(is_list, F.from_json("value", "array<string>"))
-    envelope = F.when(~is_list, F.from_json("value", _ENVELOPE))
-    records = F.coalesce(bare, *[envelope.getField(key) for key in ENVELOPE_KEYS])
-    others = [c for c in pages.columns if c != "value"]
-    return pages.select(*others, F.posexplode(records).alias("pos", "raw")).filter(
-        F.col("raw").isNotNull()
+    # Parsed in a projection of their own, so that a page is parsed once and not once per key.
+    parsed = pages.withColumns(
+        {
+            "_list": F.when(is_list, F.from_json("value", "array<string>")),
+            "_envelope": F.when(~is_list, F.from_json("value", _ENVELOPE)),
+        }
     )
+    lists = [F.col("_envelope").getField(key) for key in ENVELOPE_KEYS]
+    others = [c for c in pages.columns if c != "value"]
+    records = parsed.select(*others, F.posexplode(F.coalesce("_list", *lists)).alias("pos", "raw"))
+    return records.filter(F.col("raw").isNotNull())
 
 
 def ingest_pages(spark: SparkSession, path: str, **options) -> DataFrame:

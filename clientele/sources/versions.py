@@ -8,57 +8,44 @@ from __future__ import annotations
 
 import uuid
 
-from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
 
 _POINTER = "version bigint, folder string, tag bigint, row_count bigint"
 
 
-def read_if_present(spark: SparkSession, path: str, schema: str) -> DataFrame:
-    """The Parquet data at ``path``; no rows if nothing was written there yet."""
-    try:
-        return spark.read.schema(schema).parquet(path)
-    except AnalysisException as error:
-        if error.getCondition() != "PATH_NOT_FOUND":
-            raise
-        return spark.createDataFrame([], schema)
-
-
 class VersionedTable:
+    """One table with one writer at a time."""
+
     def __init__(self, spark: SparkSession, path: str):
         self.spark = spark
         self.path = path.rstrip("/")
-
-    def _newest(self):
-        pointers = read_if_present(self.spark, f"{self.path}/pointers", _POINTER)
-        return pointers.orderBy(F.desc("version")).first()
-
-    def exists(self) -> bool:
-        return self._newest() is not None
+        pointers = f"{self.path}/pointers"
+        spark.createDataFrame([], _POINTER).write.mode("ignore").parquet(pointers)
+        known = spark.read.schema(_POINTER).parquet(pointers)
+        self._newest = known.orderBy(F.desc("version")).first()
 
     def last_tag(self) -> int | None:
         """The tag of the newest version, such as the last merged batch id."""
-        newest = self._newest()
-        return None if newest is None else newest.tag
+        return None if self._newest is None else self._newest.tag
 
     def row_count(self) -> int:
-        newest = self._newest()
-        return 0 if newest is None else newest.row_count
+        return 0 if self._newest is None else self._newest.row_count
 
     def current(self) -> DataFrame | None:
-        newest = self._newest()
-        return None if newest is None else self.spark.read.parquet(f"{self.path}/{newest.folder}")
+        if self._newest is None:
+            return None
+        return self.spark.read.parquet(f"{self.path}/{self._newest.folder}")
 
     def write(self, df: DataFrame, tag: int | None = None) -> int:
         """Write ``df`` as the next version and return its row count."""
-        newest = self._newest()
-        version = 1 if newest is None else newest.version + 1
+        version = 1 if self._newest is None else self._newest.version + 1
         folder = f"v{version}-{uuid.uuid4().hex}"
         seen = Observation()
         counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
         counted.write.parquet(f"{self.path}/{folder}")
-        rows = seen.get["n"]
-        pointer = self.spark.createDataFrame([(version, folder, tag, rows)], _POINTER)
+        newest = Row(version=version, folder=folder, tag=tag, row_count=seen.get["n"])
+        pointer = self.spark.createDataFrame([newest], _POINTER)
         pointer.coalesce(1).write.mode("append").parquet(f"{self.path}/pointers")
-        return rows
+        self._newest = newest
+        return newest.row_count

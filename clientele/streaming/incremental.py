@@ -6,7 +6,7 @@ from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.operators.flatten import split_records
+from clientele.operators.flatten import good_rows, with_reason
 from clientele.operators.merge import latest_per_key
 from clientele.plans.specs import Entity
 from clientele.sources.pages import unwrap_pages
@@ -31,7 +31,8 @@ def typed_stream(pages: DataFrame, entity: Entity, repeat_window: str) -> DataFr
     A repeat has the same key, the same ``updated_at`` and the same payload; the key alone
     would lose updates. The watermark runs on the time of arrival, so no record is ever late.
     """
-    rows, _ = split_records(unwrap_pages(pages), entity, keep=(*ARRIVAL, "landed_at"))
+    records = unwrap_pages(pages)
+    rows = good_rows(with_reason(records, entity, keep=(*ARRIVAL, "landed_at")))
     hashed = rows.withColumn("_payload", F.xxhash64("raw"))
     return (
         hashed.withWatermark("landed_at", repeat_window)
