@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.operators.flatten import delta_since, good_rows, with_reason
-from clientele.operators.merge import latest_per_key, merge_entity
+from clientele.operators.merge import latest_per_key
 from clientele.plans.specs import ENTITIES, LOAD_ORDER, Entity
 from clientele.sources.versions import VersionedTable
 
@@ -54,13 +54,11 @@ def load_entity(
     fresh = good_rows(spark.read.parquet(folder))
     if since and "updated_at" in entity.columns:
         fresh = delta_since(fresh, since)
-    table = VersionedTable(spark, f"{store}/{entity.name}")
-    current = table.current()
-    if current is None:
-        merged = latest_per_key(fresh, entity.key, order).drop(*order) if order else fresh
+    table = VersionedTable(spark, f"{store}/{entity.name}", entity.key)
+    if table.version:
+        table.merge(fresh, order)
     else:
-        merged = merge_entity(current, fresh, entity, order)
-    table.write(merged)
+        table.replace(latest_per_key(fresh, entity.key, order).drop(*order) if order else fresh)
     return seen.get["loaded"], seen.get["rejected"]
 
 

@@ -1,51 +1,118 @@
-"""Tables that are replaced as a whole: write a new folder, then point to it.
+"""Tables replaced by pointing to new folders; nothing is overwritten in place.
 
-A reader follows the newest pointer, so it sees either the old table or the new one, and a job
-that dies half-way leaves only a folder nobody points to. Nothing is overwritten in place.
+Rows are partitioned by ranges of their key. A merge rewrites only the ranges its updates fall
+in, so its cost follows the updates and not the table. Every version lists the folders that
+make up the table and the ranges to read from each; a reader sees either the old list or the
+new one, and a job that dies half-way leaves only a folder nobody lists.
 """
 
 from __future__ import annotations
 
+import json
 import uuid
 
 from pyspark.sql import DataFrame, Observation, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-_POINTER = "version bigint, folder string, tag bigint, row_count bigint"
+from clientele.operators.merge import merge_rows
+
+_MANIFEST = "version bigint, folder string, parts array<bigint>, tag bigint, layout string"
+_PART = "_part"
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
 class VersionedTable:
     """One table with one writer at a time."""
 
-    def __init__(self, spark: SparkSession, path: str):
+    def __init__(
+        self,
+        spark: SparkSession,
+        path: str,
+        key: tuple[str, ...] = ("id",),
+        part_width: int = 10_000_000,
+        max_folders: int = 20,
+    ):
         self.spark = spark
         self.path = path.rstrip("/")
-        pointers = f"{self.path}/pointers"
-        spark.createDataFrame([], _POINTER).write.mode("ignore").parquet(pointers)
-        known = spark.read.schema(_POINTER).parquet(pointers)
-        self._newest = known.orderBy(F.desc("version")).first()
+        self.key = key
+        self.part_width = part_width
+        self.max_folders = max_folders
+        self._live: list[Row] = []
+        if path_exists(spark, f"{self.path}/manifest"):
+            known = spark.read.schema(_MANIFEST).parquet(f"{self.path}/manifest")
+            newest = known.agg(F.max("version")).scalar()
+            # As many rows as the table has live folders, at most ``max_folders`` + 1.
+            self._live = known.filter(F.col("version") == newest).collect()
+
+    @property
+    def version(self) -> int:
+        return self._live[0].version if self._live else 0
 
     def last_tag(self) -> int | None:
         """The tag of the newest version, such as the last merged batch id."""
-        return None if self._newest is None else self._newest.tag
-
-    def row_count(self) -> int:
-        return 0 if self._newest is None else self._newest.row_count
+        return self._live[0].tag if self._live else None
 
     def current(self) -> DataFrame | None:
-        if self._newest is None:
-            return None
-        return self.spark.read.parquet(f"{self.path}/{self._newest.folder}")
-
-    def write(self, df: DataFrame, tag: int | None = None) -> int:
-        """Write ``df`` as the next version and return its row count."""
-        version = 1 if self._newest is None else self._newest.version + 1
-        folder = f"v{version}-{uuid.uuid4().hex}"
+        return self._read(self._live) if self._live else None
+
+    def _read(self, entries) -> DataFrame:
+        layout = T.StructType.fromJson(json.loads(self._live[0].layout))
+        stored = layout.add(_PART, T.LongType()) if _PART not in layout.names else layout
+        frames = [
+            self.spark.read.schema(stored)
+            .parquet(f"{self.path}/{e.folder}")
+            .filter(F.col(_PART).isin(*e.parts))
+            for e in entries
+            if e.parts
+        ]
+        if not frames:
+            return self.spark.createDataFrame([], stored).drop(_PART)
+        table = frames[0]
+        for frame in frames[1:]:
+            table = table.unionByName(frame)
+        return table.drop(_PART)
+
+    def _with_part(self, df: DataFrame) -> DataFrame:
+        part = F.floor(F.col(self.key[0]) / self.part_width).cast("bigint")
+        return df.withColumn(_PART, F.coalesce(part, F.lit(0)))
+
+    def _write_folder(self, df: DataFrame) -> tuple[str, list[int]]:
+        """Write rows by key range; a large range is split over several tasks and files."""
+        folder = f"v{self.version + 1}-{uuid.uuid4().hex}"
         seen = Observation()
-        counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
-        counted.write.parquet(f"{self.path}/{folder}")
-        newest = Row(version=version, folder=folder, tag=tag, row_count=seen.get["n"])
-        pointer = self.spark.createDataFrame([newest], _POINTER)
-        pointer.coalesce(1).write.mode("append").parquet(f"{self.path}/pointers")
-        self._newest = newest
-        return newest.row_count
+        # The set has one number per key range.
+        parted = self._with_part(df).observe(seen, F.collect_set(_PART).alias("parts"))
+        parted.hint("rebalance", _PART).write.partitionBy(_PART).parquet(f"{self.path}/{folder}")
+        return folder, sorted(seen.get["parts"])
+
+    def _switch(self, folders: list[tuple[str, list[int]]], layout: str, tag: int | None) -> None:
+        version = self.version + 1
+        live = [
+            Row(version=version, folder=folder, parts=parts, tag=tag, layout=layout)
+            for folder, parts in folders
+        ]
+        entries = self.spark.createDataFrame(live, _MANIFEST).coalesce(1)
+        entries.write.mode("append").parquet(f"{self.path}/manifest")
+        self._live = live
+
+    def replace(self, df: DataFrame, tag: int | None = None) -> None:
+        """Make ``df`` the whole table."""
+        self._switch([self._write_folder(df)], df.schema.json(), tag)
+
+    def merge(self, updates: DataFrame, order: tuple[str, ...] = (), tag: int | None = None) -> None:
+        """Insert or replace on the key; see ``merge_rows``. The table must exist."""
+        touched = self._with_part(updates).select(_PART).distinct().collect()
+        ranges = {r[0] for r in touched}
+        hit = [e.asDict() | {"parts": [p for p in e.parts if p in ranges]} for e in self._live]
+        old = self._read([Row(**e) for e in hit])
+        new = self._write_folder(merge_rows(old, updates, self.key, order))
+        kept = [(e.folder, [p for p in e.parts if p not in ranges]) for e in self._live]
+        folders = [entry for entry in kept if entry[1]] + [new]
+        self._switch(folders, self._live[0].layout, tag)
+        if len(folders) > self.max_folders:
+            self.replace(self.current(), tag)

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -10,11 +9,15 @@ from clientele.operators.flatten import good_rows, with_reason
 from clientele.operators.merge import latest_per_key
 from clientele.plans.specs import Entity
 from clientele.sources.pages import unwrap_pages
-from clientele.sources.versions import VersionedTable
+from clientele.sources.versions import VersionedTable, path_exists
 
 ARRIVAL = ("page", "pos")
 
 
+def version_column(entity: Entity) -> str:
+    return "updated_at" if "updated_at" in entity.columns else "created_at"
+
+
 def page_stream(spark: SparkSession, landing: str, files_per_batch: int = 1000) -> DataFrame:
     """New page files as they land, one page per line."""
     text = spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch)
@@ -36,7 +39,7 @@ def typed_stream(pages: DataFrame, entity: Entity, repeat_window: str) -> DataFr
     hashed = rows.withColumn("_payload", F.xxhash64("raw"))
     return (
         hashed.withWatermark("landed_at", repeat_window)
-        .dropDuplicatesWithinWatermark([*entity.key, "updated_at", "_payload"])
+        .dropDuplicatesWithinWatermark([*entity.key, version_column(entity), "_payload"])
         .drop("_payload")
     )
 
@@ -55,7 +58,8 @@ class IncrementalLoad:
         self.entity = entity
         self.changes = f"{store}/changes/{entity.name}"
         self.checkpoint = f"{store}/progress/{entity.name}"
-        self.table = VersionedTable(spark, f"{store}/{entity.name}")
+        self.table = VersionedTable(spark, f"{store}/{entity.name}", entity.key)
+        self.version_column = version_column(entity)
 
     def _write_batch(self, rows: DataFrame, batch_id: int) -> None:
         rows.write.mode("overwrite").parquet(f"{self.changes}/batch={batch_id}")
@@ -81,32 +85,26 @@ class IncrementalLoad:
         """
         merged_to = self.table.last_tag()
         current = self.table.current()
-        try:
-            batches = self.spark.read.parquet(self.changes)
-        except AnalysisException as error:
-            if error.getCondition() != "PATH_NOT_FOUND":
-                raise
+        if not path_exists(self.spark, self.changes):
             return current
+        batches = self.spark.read.parquet(self.changes)
         if merged_to is not None:
             batches = batches.filter(F.col("batch") > merged_to)
         newest_batch = batches.agg(F.max("batch")).first()[0]
         if newest_batch is None:
             return current
-        order = ("updated_at", "batch", *ARRIVAL)
+        order = (self.version_column, "batch", *ARRIVAL)
         changed = latest_per_key(batches.drop("landed_at"), self.entity.key, order)
-        if current is not None:
-            changed = self._newer_than(changed, current)
-            keys = changed.select(*self.entity.key)
-            kept = current.join(keys, list(self.entity.key), "left_anti")
-            changed = kept.select(*current.columns).unionByName(changed.select(*current.columns))
+        changed = changed.drop("batch", *ARRIVAL)
+        if current is None:
+            self.table.replace(changed, tag=newest_batch)
         else:
-            changed = changed.drop("batch", *ARRIVAL)
-        self.table.write(changed, tag=newest_batch)
+            self.table.merge(self._newer_than(changed, current), tag=newest_batch)
         return self.table.current()
 
     def _newer_than(self, changed: DataFrame, current: DataFrame) -> DataFrame:
         """Changes that are not older than the stored row of their key."""
-        stored = current.select(*self.entity.key, F.col("updated_at").alias("_stored"))
-        older = F.col("updated_at") < F.col("_stored")
+        stored = current.select(*self.entity.key, F.col(self.version_column).alias("_stored"))
+        older = F.col(self.version_column) < F.col("_stored")
         both = changed.join(stored, list(self.entity.key), "left")
         return both.filter(F.coalesce(~older, F.lit(True))).drop("_stored")
