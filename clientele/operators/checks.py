@@ -3,56 +3,121 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.functions.payload import blank
 from clientele.operators.flatten import contact_emails
 from clientele.plans.specs import ENTITIES, Entity, ForeignKey
+from clientele.session import work_dir
 
 Tables = Mapping[str, DataFrame]
 
 
+@dataclass(frozen=True)
+class OrphanCheck:
+    """Foreign keys of one table; no columns means all of them."""
+
+    entity: Entity
+    columns: tuple[str, ...] = ()
+
+    @property
+    def references(self) -> list[ForeignKey]:
+        keys = self.entity.foreign_keys
+        return [r for r in keys if not self.columns or r.column in self.columns]
+
+
 def _parent_keys(tables: Tables, parent: str) -> DataFrame:
     return tables[parent].select(F.col("id").alias("_parent")).distinct()
 
 
-def orphan_rows(tables: Tables, entity: Entity, columns: tuple[str, ...] | None = None) -> DataFrame:
-    """Child rows with at least one foreign key that has no parent.
+def lost_keys(tables: Tables, wanted: list[OrphanCheck]) -> DataFrame:
+    """(child, fk, key, rows): every foreign key value without a parent and how often it is used.
 
-    Parents are cut down to their distinct keys and joined without a broadcast hint: Catalyst
-    broadcasts those under its size threshold, and a hot key in a shuffled join is split at
-    run time, which a left join permits.
+    All references are checked in one go. The keys are counted before they are shuffled, so a
+    value that a third of the rows share crosses as one row per map task, and of the child rows
+    nothing but their distinct keys moves.
     """
-    refs = _references(entity, columns)
-    child = tables[entity.name]
-    lost = F.lit(False)
-    for i, ref in enumerate(refs):
-        keys = _parent_keys(tables, ref.parent).withColumnRenamed("_parent", f"_parent{i}")
-        child = child.join(keys, F.col(ref.column) == F.col(f"_parent{i}"), "left")
-        absent = F.col(f"_parent{i}").isNull()
-        lost = lost | (absent if ref.null_is_orphan else absent & F.col(ref.column).isNotNull())
-    return child.filter(lost).drop(*[f"_parent{i}" for i in range(len(refs))])
+    pairs = {(c.entity.name, r.column): r for c in wanted for r in c.references}
+    used = []
+    for (child, column), ref in pairs.items():
+        keys = tables[child].select(
+            F.lit(child).alias("child"), F.lit(column).alias("fk"),
+            F.lit(ref.parent).alias("parent"), F.col(column).cast("bigint").alias("key"),
+        )
+        used.append(keys if ref.null_is_orphan else keys.filter(F.col(column).isNotNull()))
+    counted = union_all(used).groupBy("child", "fk", "parent", "key").agg(F.count("*").alias("rows"))
+    parents = union_all(
+        [
+            tables[p].select(F.lit(p).alias("parent"), F.col("id").cast("bigint").alias("key"))
+            for p in sorted({r.parent for r in pairs.values()})
+        ]
+    )
+    return counted.join(parents, ["parent", "key"], "left_anti").drop("parent")
 
 
-def _references(entity: Entity, columns: tuple[str, ...] | None) -> list[ForeignKey]:
-    return [r for r in entity.foreign_keys if columns is None or r.column in columns]
+def orphan_rows(tables: Tables, check: OrphanCheck, lost: DataFrame) -> DataFrame:
+    """Child rows that use at least one of the ``lost`` keys.
+
+    ``lost`` should be a stored table, whose size Catalyst knows: a short list of lost keys is
+    then broadcast and the child rows stay where they are; a list above the broadcast threshold
+    is joined by a shuffle, in which hot keys are split at run time.
+    """
+    child = tables[check.entity.name]
+    hit = F.lit(False)
+    for i, ref in enumerate(check.references):
+        mine = (F.col("child") == check.entity.name) & (F.col("fk") == ref.column)
+        keys = lost.filter(mine).select(
+            F.col("key").alias(f"_key{i}"), F.lit(True).alias(f"_lost{i}")
+        )
+        same = F.col(ref.column) == F.col(f"_key{i}")
+        if ref.null_is_orphan:
+            same = F.col(ref.column).eqNullSafe(F.col(f"_key{i}"))
+        child = child.join(keys, same, "left")
+        hit = hit | F.coalesce(F.col(f"_lost{i}"), F.lit(False))
+    return child.filter(hit).select(*tables[check.entity.name].columns)
 
 
-def orphan_count(
-    tables: Tables, entity: Entity, columns: tuple[str, ...] | None = None, name: str = "orphans"
+def orphan_counts(
+    spark: SparkSession, tables: Tables, wanted: Mapping[str, OrphanCheck], label: str, name: str
 ) -> DataFrame:
-    """One row: how many child rows have lost a parent.
+    """(label, count) per check: how many child rows have lost at least one parent.
 
-    With a single foreign key the child is counted per key before it meets its parent, so a key
-    shared by a third of the rows crosses the shuffle as one row per map task.
+    The lost keys are stored first. A table that lost keys of one reference only is settled by
+    their counts. Only where two references of a table have lost keys, so that a row may be
+    counted twice, are its rows read once more.
     """
-    refs = _references(entity, columns)
-    child = tables[entity.name].select(*[r.column for r in refs])
+    folder = work_dir(spark, "lost")
+    lost_keys(tables, list(wanted.values())).write.parquet(folder)
+    lost = spark.read.schema("key bigint, child string, fk string, rows bigint").parquet(folder)
+    # At most one number per reference.
+    totals = {
+        (r.child, r.fk): r.rows for r in lost.groupBy("child", "fk").agg(F.sum("rows").alias("rows")).collect()
+    }
+    settled, parts = [], []
+    for key, check in wanted.items():
+        found = [totals.get((check.entity.name, r.column), 0) for r in check.references]
+        if sum(n > 0 for n in found) < 2:
+            settled.append((key, sum(found)))
+            continue
+        columns = [r.column for r in check.references]
+        narrow = {check.entity.name: tables[check.entity.name].select(*columns)}
+        count = orphan_rows(narrow, check, lost).agg(F.count("*").alias(name))
+        parts.append(labelled(count, key, label))
+    if settled:
+        parts.append(spark.createDataFrame(settled, f"{label} string, {name} bigint"))
+    return union_all(parts)
+
+
+def orphan_count(tables: Tables, check: OrphanCheck, name: str = "orphans") -> DataFrame:
+    """The count for one check, as one row; several references go by ``orphan_counts``."""
+    refs = check.references
+    child = tables[check.entity.name]
     if len(refs) > 1:
-        narrowed = {**{r.parent: tables[r.parent] for r in refs}, entity.name: child}
-        return orphan_rows(narrowed, entity, columns).agg(F.count("*").alias(name))
+        counts = orphan_counts(child.sparkSession, tables, {"": check}, "_label", name)
+        return counts.drop("_label")
     ref = refs[0]
     if not ref.null_is_orphan:
         child = child.filter(F.col(ref.column).isNotNull())
@@ -80,17 +145,9 @@ FK_REPORT: tuple[str, ...] = (
 )
 
 
-def fk_report(tables: Tables) -> DataFrame:
-    return union_all(
-        [
-            labelled(
-                orphan_count(tables, ENTITIES[name], name="orphan_count"),
-                f"Orphaned {name}",
-                "table_name",
-            )
-            for name in FK_REPORT
-        ]
-    )
+def fk_report(spark: SparkSession, tables: Tables) -> DataFrame:
+    wanted = {f"Orphaned {n}": OrphanCheck(ENTITIES[n]) for n in FK_REPORT}
+    return orphan_counts(spark, tables, wanted, "table_name", "orphan_count")
 
 
 def orphan_note_samples(tables: Tables, limit: int = 10) -> DataFrame:
@@ -123,8 +180,8 @@ def one_row(counts: Mapping[str, DataFrame]) -> DataFrame:
 def dashboard_checks(tables: Tables) -> DataFrame:
     return one_row(
         {
-            "orphaned_notes": orphan_count(tables, ENTITIES["notes"], ("contact_id",)),
-            "orphaned_tasks": orphan_count(tables, ENTITIES["tasks"], ("contact_id",)),
+            "orphaned_notes": orphan_count(tables, OrphanCheck(ENTITIES["notes"], ("contact_id",))),
+            "orphaned_tasks": orphan_count(tables, OrphanCheck(ENTITIES["tasks"], ("contact_id",))),
             "duplicate_emails": duplicate_exact_emails(tables["contacts"]),
         }
     )

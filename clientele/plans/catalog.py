@@ -340,7 +340,7 @@ ORPHAN_CHECKS: dict[str, tuple[str, tuple[str, ...]]] = {
 def _register_orphans(name: str, entity: str, columns: tuple[str, ...]) -> None:
     @query(name)
     def _(t):
-        found = checks.orphan_count(t, ENTITIES[entity], columns or None)
+        found = checks.orphan_count(t, checks.OrphanCheck(ENTITIES[entity], columns))
         return checks.labelled(found, name, "check_name")
 
 
@@ -350,7 +350,7 @@ for _name, (_child, _columns) in ORPHAN_CHECKS.items():
 
 @query("fk_report")
 def _(t):
-    return checks.fk_report(t)
+    return checks.fk_report(t.spark, t)
 
 
 @query("orphan_note_samples")

@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import datetime as dt
+import time
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.operators.flatten import delta_since, good_rows, with_reason
@@ -46,12 +47,11 @@ def load_entity(
     """
     order = ("seq",) if "seq" in records.columns else ()
     folder = f"{store}/staged/{entity.name}/{uuid.uuid4().hex}"
-    seen = Observation()
-    good = F.col("reason").isNull()
-    with_reason(records, entity, keep=order).observe(
-        seen, F.count_if(good).alias("loaded"), F.count_if(~good).alias("rejected")
-    ).write.parquet(folder)
-    fresh = good_rows(spark.read.parquet(folder))
+    with_reason(records, entity, keep=order).write.parquet(folder)
+    staged = spark.read.parquet(folder)
+    good = F.count_if(F.col("reason").isNull())
+    loaded, tried = staged.agg(good, F.count("*")).first()
+    fresh = good_rows(staged)
     if since and "updated_at" in entity.columns:
         fresh = delta_since(fresh, since)
     table = VersionedTable(spark, f"{store}/{entity.name}", entity.key)
@@ -59,7 +59,7 @@ def load_entity(
         table.merge(fresh, order)
     else:
         table.replace(latest_per_key(fresh, entity.key, order).drop(*order) if order else fresh)
-    return seen.get["loaded"], seen.get["rejected"]
+    return loaded, tried - loaded
 
 
 def ordered_load(
@@ -80,8 +80,10 @@ def ordered_load(
     ``run_id`` the run, its source counts and its rejected records are logged below ``store``.
     """
     manifest: list[tuple] = []
+    took_ms: list[int] = []
     started = dt.datetime.now(dt.timezone.utc)
     for position, entity in enumerate(in_load_order(entities)):
+        clock = time.monotonic()
         try:
             records = sources[entity.name]
             if dry_run:
@@ -93,16 +95,20 @@ def ordered_load(
             detail = f"{type(error).__name__}: {error}"[:500]
             row = (position, entity.name, "failed", 0, 0, detail)
         manifest.append(row)
+        took_ms.append(int(1000 * (time.monotonic() - clock)))
         if row[2] == "failed" and not continue_on_error:
             break
     result = spark.createDataFrame(manifest, MANIFEST)
     if run_id is not None and not dry_run:
-        _log_run(spark, store, run_id, started, manifest)
+        _log_run(spark, store, run_id, started, manifest, took_ms)
     return result
 
 
-def _log_run(spark, store: str, run_id: int, started: dt.datetime, manifest: list[tuple]) -> None:
-    """A few rows per run: the run itself, a count per entity, an error per failure."""
+def _log_run(
+    spark: SparkSession, store: str, run_id: int, started: dt.datetime, manifest: list[tuple],
+    took_ms: list[int],
+) -> None:
+    """A few rows per run: the run itself, counts and timing per entity, an error per failure."""
     failed = [m for m in manifest if m[2] == "failed"]
     note = f"{len(manifest) - len(failed)}/{len(manifest)} entities, {sum(m[3] for m in manifest)} rows"
     events = spark.createDataFrame(
@@ -118,6 +124,11 @@ def _log_run(spark, store: str, run_id: int, started: dt.datetime, manifest: lis
         "run_id bigint, entity string, items_retrieved bigint",
     )
     append_metrics(counts, f"{store}/meta/source_counts")
+    metrics = spark.createDataFrame(
+        [(run_id, m[1], m[3] + m[4], ms, m[5]) for m, ms in zip(manifest, took_ms)],
+        "run_id bigint, entity string, item_count bigint, duration_ms bigint, error_message string",
+    )
+    append_metrics(metrics, f"{store}/meta/request_metrics")
     if failed:
         errors = spark.createDataFrame(
             [(run_id, m[1], "load", m[5]) for m in failed],

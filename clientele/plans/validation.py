@@ -19,9 +19,8 @@ def _count(find: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]
 
 
 def _orphans(name: str, *columns: str) -> Callable[[Tables], DataFrame]:
-    return lambda t: checks.orphan_count(
-        t, ENTITIES[name], columns or None, name="issue_count"
-    )
+    check = checks.OrphanCheck(ENTITIES[name], columns)
+    return lambda t: checks.orphan_count(t, check, name="issue_count")
 
 
 # Each check gives one row with ``issue_count``.

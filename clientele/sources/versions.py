@@ -11,7 +11,7 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, Observation, Row, SparkSession
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -84,11 +84,11 @@ class VersionedTable:
     def _write_folder(self, df: DataFrame) -> tuple[str, list[int]]:
         """Write rows by key range; a large range is split over several tasks and files."""
         folder = f"v{self.version + 1}-{uuid.uuid4().hex}"
-        seen = Observation()
-        # The set has one number per key range.
-        parted = self._with_part(df).observe(seen, F.collect_set(_PART).alias("parts"))
+        parted = self._with_part(df)
         parted.hint("rebalance", _PART).write.partitionBy(_PART).parquet(f"{self.path}/{folder}")
-        return folder, sorted(seen.get["parts"])
+        written = self.spark.read.schema(parted.schema).parquet(f"{self.path}/{folder}")
+        # One number per key range; only folder names and footers are read.
+        return folder, sorted(r[0] for r in written.select(_PART).distinct().collect())
 
     def _switch(self, folders: list[tuple[str, list[int]]], layout: str, tag: int | None) -> None:
         version = self.version + 1
@@ -108,6 +108,9 @@ class VersionedTable:
         """Insert or replace on the key; see ``merge_rows``. The table must exist."""
         touched = self._with_part(updates).select(_PART).distinct().collect()
         ranges = {r[0] for r in touched}
+        if not ranges:
+            kept = [(e.folder, e.parts) for e in self._live]
+            return self._switch(kept, self._live[0].layout, tag)
         hit = [e.asDict() | {"parts": [p for p in e.parts if p in ranges]} for e in self._live]
         old = self._read([Row(**e) for e in hit])
         new = self._write_folder(merge_rows(old, updates, self.key, order))

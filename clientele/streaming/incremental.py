@@ -5,13 +5,14 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.operators.flatten import good_rows, with_reason
+from clientele.operators.flatten import good_rows, rejected_rows, with_reason
 from clientele.operators.merge import latest_per_key
 from clientele.plans.specs import Entity
 from clientele.sources.pages import unwrap_pages
 from clientele.sources.versions import VersionedTable, path_exists
 
-ARRIVAL = ("page", "pos")
+ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+ARRIVAL = ("written_at", "page", "pos")
 
 
 def version_column(entity: Entity) -> str:
@@ -24,18 +25,19 @@ def page_stream(spark: SparkSession, landing: str, files_per_batch: int = 1000)
     return text.load(landing).select(
         "value",
         F.col("_metadata.file_path").alias("page"),
+        F.col("_metadata.file_modification_time").alias("written_at"),
         F.current_timestamp().alias("landed_at"),
     )
 
 
 def typed_stream(pages: DataFrame, entity: Entity, repeat_window: str) -> DataFrame:
-    """Typed rows without the exact repeats seen inside ``repeat_window``.
+    """Typed rows without the exact repeats seen inside ``repeat_window``; see ``with_reason``.
 
     A repeat has the same key, the same ``updated_at`` and the same payload; the key alone
     would lose updates. The watermark runs on the time of arrival, so no record is ever late.
     """
     records = unwrap_pages(pages)
-    rows = good_rows(with_reason(records, entity, keep=(*ARRIVAL, "landed_at")))
+    rows = with_reason(records, entity, keep=(*ARRIVAL, "landed_at"))
     hashed = rows.withColumn("_payload", F.xxhash64("raw"))
     return (
         hashed.withWatermark("landed_at", repeat_window)
@@ -66,6 +68,8 @@ class IncrementalLoad:
 
     def drain(self, repeat_window: str = "7 days", files_per_batch: int = 1000) -> None:
         """Process all pages that have landed since the last call, then stop."""
+        # The repeats to remember outgrow memory; RocksDB keeps them on the executors' disks.
+        self.spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         pages = page_stream(self.spark, self.landing, files_per_batch)
         query = (
             typed_stream(pages, self.entity, repeat_window)
@@ -94,7 +98,7 @@ class IncrementalLoad:
         if newest_batch is None:
             return current
         order = (self.version_column, "batch", *ARRIVAL)
-        changed = latest_per_key(batches.drop("landed_at"), self.entity.key, order)
+        changed = latest_per_key(good_rows(batches.drop("landed_at")), self.entity.key, order)
         changed = changed.drop("batch", *ARRIVAL)
         if current is None:
             self.table.replace(changed, tag=newest_batch)
@@ -102,6 +106,10 @@ class IncrementalLoad:
             self.table.merge(self._newer_than(changed, current), tag=newest_batch)
         return self.table.current()
 
+    def rejected(self) -> DataFrame:
+        """Landed records that could not be loaded, with the page and the reason."""
+        return rejected_rows(self.spark.read.parquet(self.changes), keep=("page", "pos"))
+
     def _newer_than(self, changed: DataFrame, current: DataFrame) -> DataFrame:
         """Changes that are not older than the stored row of their key."""
         stored = current.select(*self.entity.key, F.col(self.version_column).alias("_stored"))

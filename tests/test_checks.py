@@ -18,22 +18,38 @@ ORPHANS = {
 @pytest.mark.parametrize("name", ORPHANS)
 def test_orphans(shop, name):
     child, columns = ORPHAN_CHECKS[name]
-    assert checks.orphan_count(shop, ENTITIES[child], columns or None).first()[0] == ORPHANS[name]
+    check = checks.OrphanCheck(ENTITIES[child], columns)
+    assert checks.orphan_count(shop, check).first()[0] == ORPHANS[name]
 
 
-def test_fk_report(shop):
-    got = {r.table_name: r.orphan_count for r in checks.fk_report(shop).collect()}
+def test_fk_report(spark, shop):
+    got = {r.table_name: r.orphan_count for r in checks.fk_report(spark, shop).collect()}
     assert got["Orphaned contact_tags"] == 3 and got["Orphaned stages"] == 1
     assert len(got) == 9
 
 
 def test_orphan_rows_keep_every_column_and_duplicate_parents_do_not_multiply(spark, shop):
     twice = {**shop, "contacts": shop["contacts"].unionByName(shop["contacts"])}
-    lost = checks.orphan_rows(twice, ENTITIES["notes"])
+    notes = checks.OrphanCheck(ENTITIES["notes"])
+    lost = checks.orphan_rows(twice, notes, checks.lost_keys(twice, [notes]))
     assert lost.columns == shop["notes"].columns
     assert sorted(r.id for r in lost.collect()) == [2, 3, 4]
 
 
+def test_a_lost_key_with_a_third_of_the_rows(spark, shop):
+    """Hot lost keys in two columns, some rows with both: each row counts once."""
+    tasks = spark.range(60_000).selectExpr(
+        "id", "CASE WHEN id % 3 = 0 THEN 77 ELSE 1 END AS contact_id",
+        "CASE WHEN id % 2 = 0 THEN 88 END AS opportunity_id", "CAST(NULL AS BIGINT) AS owner_id",
+        "'t' AS title",
+    )
+    check = checks.OrphanCheck(ENTITIES["tasks"])
+    tables = {**shop, "tasks": tasks}
+    lost = checks.lost_keys(tables, [check]).collect()
+    assert sorted((r.fk, r.key, r.rows) for r in lost) == [("contact_id", 77, 20_000), ("opportunity_id", 88, 30_000)]
+    assert checks.orphan_count(tables, check).first()[0] == 40_000
+
+
 def test_samples_cut_long_bodies(spark, shop):
     notes = shop["notes"].selectExpr("*", "CAST(NULL AS TIMESTAMP) AS created_at")
     rows = checks.orphan_note_samples({**shop, "notes": notes}).collect()
@@ -83,7 +99,7 @@ def test_summary_counts_and_survives_a_broken_check(shop):
 
 
 def test_summary_passes_on_clean_data(shop):
-    only = {"opps": lambda t: checks.orphan_count(t, ENTITIES["opportunities"], ("contact_id",), "issue_count")}
+    only = {"opps": lambda t: checks.orphan_count(t, checks.OrphanCheck(ENTITIES["opportunities"], ("contact_id",)), "issue_count")}
     clean = {**shop, "opportunities": shop["opportunities"].filter("id = 1")}
     rows = {r.check_name: r.outcome for r in validation_summary(clean, only).collect()}
     assert rows == {"opps": "clean", "TOTAL": "passed"}

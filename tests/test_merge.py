@@ -230,6 +230,10 @@ def test_stream_applies_updates_and_ignores_replays(spark):
     land(spark, landing, contact(1, "a2", "2024-01-05"))
     job.drain()
     assert names() == {1: "a2", 2: "b2", 3: "c"}
+    land(spark, landing, {"given_name": "no id"})
+    job.drain()
+    assert names() == {1: "a2", 2: "b2", 3: "c"}
+    assert [(r.reason, r.pos) for r in job.rejected().collect()] == [("no key", 0)]
     # A new process goes on where this one stopped.
     again = IncrementalLoad(spark, landing, store, ENTITIES["contacts"])
     again.drain()
