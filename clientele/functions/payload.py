@@ -20,25 +20,29 @@ def split_path(path: str) -> tuple[bool, str, bool, str | None]:
 
 
 def parse_payload(df: DataFrame, fields: Iterable[Field], corrupt: str) -> DataFrame:
-    """Parse ``raw`` once, and each nested value that is needed once more.
+    """Parse ``raw`` once, keeping every needed top-level value as text in ``_doc``.
 
-    ``_doc`` holds every top-level value as text. A nested value under ``key`` becomes
-    ``_in_key``: a struct of the wanted sub-keys, or a list of such structs.
+    A nested value under ``key`` becomes ``_in_key``: a struct of the wanted sub-keys, or a list
+    of such structs. It is part of the same parse, unless the whole value is needed as text too.
     """
     paths = [split_path(p) for f in fields for p in f.paths]
-    heads = sorted({head for _, head, _, _ in paths})
-    schema = ", ".join([f"`{h}` string" for h in heads] + [f"`{corrupt}` string"])
+    columns, nested = [], {}
+    for head in sorted({head for _, head, _, _ in paths}):
+        mine = [p for p in paths if p[1] == head]
+        below = sorted({b for _, _, _, b in mine if b})
+        shape = "string"
+        if below:
+            shape = "struct<" + ",".join(f"`{b}`:string" for b in below) + ">"
+            shape = f"array<{shape}>" if any(first for _, _, first, _ in mine) else shape
+            value = F.col("_doc").getField(head)
+            as_text = any(b is None for _, _, _, b in mine)
+            nested[f"_in_{head}"] = F.from_json(value, shape) if as_text else value
+            shape = "string" if as_text else shape
+        columns.append(f"`{head}` {shape}")
+    schema = ", ".join([*columns, f"`{corrupt}` string"])
     parsed = df.withColumn(
         "_doc", F.from_json("raw", schema, {"columnNameOfCorruptRecord": corrupt})
     )
-    nested = {}
-    for head in heads:
-        below = sorted({b for _, h, _, b in paths if h == head and b})
-        if below:
-            inner = "struct<" + ",".join(f"`{b}`:string" for b in below) + ">"
-            listed = any(first for _, h, first, _ in paths if h == head)
-            shape = f"array<{inner}>" if listed else inner
-            nested[f"_in_{head}"] = F.from_json(F.col("_doc").getField(head), shape)
     return parsed.withColumns(nested) if nested else parsed
 
 

@@ -23,7 +23,10 @@ def with_reason(records: DataFrame, entity: Entity, keep: tuple[str, ...] = ())
     A record is rejected if it is not a JSON object or lacks a key column; the rest load on.
     """
     parsed = parse_payload(records, entity.fields, _CORRUPT)
-    broken = F.col("_doc").isNull() | F.col("_doc").getField(_CORRUPT).isNotNull()
+    # A value of an unexpected kind marks the record too; only unreadable JSON rejects it.
+    no_object = F.try_parse_json("raw").isNull() | ~F.col("raw").rlike(r"^\s*\{")
+    marked = F.col("_doc").getField(_CORRUPT).isNotNull()
+    broken = F.col("_doc").isNull() | (marked & no_object)
     typed = parsed.select(
         *keep, *[field_column(f) for f in entity.fields], "raw", broken.alias("_broken")
     )

@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.sources.bindings import CrmTables
+from clientele.sources.bindings import STAR, CrmTables
 
 
 def _stamp(moment: str, key: str) -> str:
@@ -220,10 +220,22 @@ _SOURCES: dict[str, tuple[str, str | None, str, dict[str, str]]] = {
 _EMBEDDED = {("companies", "phone_number"), ("companies", "address"), ("companies", "custom_fields")}
 
 
+def _needed(star: str, expressions: list[str]) -> list[str]:
+    """The columns of a star table that the expressions mention."""
+    names = [c.split()[0] for c in STAR[star].split(",")]
+    return [n for n in names if any(n in e for e in expressions)]
+
+
+def spread(rows: DataFrame) -> DataFrame:
+    """Use all cores on a scan with fewer splits than cores; a large scan stays as it is."""
+    cores = rows.sparkSession.sparkContext.defaultParallelism
+    return rows.repartition(cores) if rows.rdd.getNumPartitions() < cores else rows
+
+
 def raw_records(tables: CrmTables, entity: str) -> DataFrame:
     """(id, raw): one JSON record per row of the entity's star table."""
     star, where, key, fields = _SOURCES[entity]
-    rows = tables.star(star)
+    rows = spread(tables.star(star).select(*_needed(star, [key, *fields.values(), where or ""])))
     if where:
         rows = rows.filter(where)
     plain = {n: e for n, e in fields.items() if (entity, n) not in _EMBEDDED}

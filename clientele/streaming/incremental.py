@@ -8,10 +8,17 @@ from pyspark.sql import functions as F
 from clientele.operators.flatten import good_rows, rejected_rows, with_reason
 from clientele.operators.merge import latest_per_key
 from clientele.plans.specs import Entity
+from clientele.session import session_settings
 from clientele.sources.pages import unwrap_pages
 from clientele.sources.versions import VersionedTable, path_exists
 
-ROCKSDB = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+# The repeats to remember outgrow memory; RocksDB keeps them on the executors' disks.
+STATE_STORE: dict[str, str] = {
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
+    "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
+}
 ARRIVAL = ("written_at", "page", "pos")
 
 
@@ -68,16 +75,15 @@ class IncrementalLoad:
 
     def drain(self, repeat_window: str = "7 days", files_per_batch: int = 1000) -> None:
         """Process all pages that have landed since the last call, then stop."""
-        # The repeats to remember outgrow memory; RocksDB keeps them on the executors' disks.
-        self.spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB)
         pages = page_stream(self.spark, self.landing, files_per_batch)
-        query = (
+        writer = (
             typed_stream(pages, self.entity, repeat_window)
             .writeStream.foreachBatch(self._write_batch)
             .option("checkpointLocation", self.checkpoint)
             .trigger(availableNow=True)
-            .start()
         )
+        with session_settings(self.spark, STATE_STORE):
+            query = writer.start()
         query.awaitTermination()
 
     def merge(self) -> DataFrame | None:

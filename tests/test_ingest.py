@@ -105,6 +105,9 @@ def test_bad_records_are_set_aside(spark):
     assert [r.id for r in good_rows(marked).collect()] == [1]
     reasons = sorted(r.reason for r in rejected_rows(marked).collect())
     assert reasons == ["no key", "no key", "unparseable", "unparseable"]
+    shapes = raws(spark, {"id": 1, "contact": "x", "stage": [1], "user": 5}, {"id": 2, "contact": {"id": 9}})
+    marked = with_reason(shapes, ENTITIES["opportunities"]).orderBy("id").collect()
+    assert [(r.id, r.contact_id, r.stage_id, r.reason) for r in marked] == [(1, None, None, None), (2, 9, None, None)]
     outcome = {r.outcome: r.records for r in load_outcome(records, ENTITIES["tags"]).collect()}
     assert outcome == {"loaded": 1, "rejected: no key": 2, "rejected: unparseable": 2}
 
