@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clientele.operators.contacts import contact_analytics, contacts_with_relationships
 from clientele.plans.specs import JSON_SHAPES
 from clientele.sources.tables import scan_entity
 
@@ -75,6 +76,38 @@ def export_parquet(df: DataFrame, path: str, shapes: Mapping[str, str] = JSON_SH
     return _write(structured(df, shapes), path, "parquet")
 
 
+_WRITERS: dict[str, Callable[[DataFrame, str], int]] = {
+    "csv": export_csv,
+    "parquet": export_parquet,
+}
+
+
+def _writer(fmt: str) -> Callable[[DataFrame, str], int]:
+    if fmt not in _WRITERS:
+        raise ValueError(f"unsupported format: {fmt}")
+    return _WRITERS[fmt]
+
+
+def export_entity(
+    table: DataFrame, path: str, fmt: str = "csv", where: str | None = None, limit: int | None = None
+) -> int:
+    """One table, or the rows of it that a predicate picks; returns the row count."""
+    order = "id" if "id" in table.columns else table.columns[0]
+    return _writer(fmt)(scan_entity(table, where, limit, order), path)
+
+
+def export_analytics(
+    tables: Mapping[str, DataFrame], path: str, fmt: str = "parquet", limit: int | None = None
+) -> int:
+    """The contact dataset: child counts and values as Parquet, company and owner as CSV."""
+    write = _writer(fmt)
+    if fmt == "csv":
+        rows, key = contacts_with_relationships(tables), "id"
+    else:
+        rows, key = contact_analytics(tables), "contact_id"
+    return write(scan_entity(rows, None, limit, key), path)
+
+
 def export_all(
     spark: SparkSession,
     tables: Mapping[str, Callable[[], DataFrame]],
@@ -87,15 +120,11 @@ def export_all(
 
     Returns a manifest of (table_name, format, status, rows, detail).
     """
-    writers = {"csv": export_csv, "parquet": export_parquet}
-    if fmt not in writers:
-        raise ValueError(f"unsupported format: {fmt}")
+    _writer(fmt)
     manifest = []
     for name in sorted(tables):
         try:
-            df = tables[name]()
-            order = "id" if "id" in df.columns else df.columns[0]
-            rows = writers[fmt](scan_entity(df, where, limit, order), f"{out}/{name}")
+            rows = export_entity(tables[name](), f"{out}/{name}", fmt, where, limit)
             manifest.append((name, fmt, "ok" if rows else "empty", rows, None))
         except Exception as error:  # the manifest reports it; the other tables go on
             manifest.append((name, fmt, "error", 0, str(error)[:500]))

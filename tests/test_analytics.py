@@ -227,6 +227,19 @@ def test_one_failing_table_does_not_stop_the_export(spark):
         exports.export_all(spark, every, "x", "xml")
 
 
+def test_contact_dataset_export(spark):
+    from clientele.sources.bindings import CrmTables
+
+    t = CrmTables(spark, "/root/testdata/sf0.001")
+    folder = work_dir(spark, "analytics")
+    assert exports.export_analytics(t, f"{folder}/parquet") == 150
+    assert "tag_count" in spark.read.parquet(f"{folder}/parquet").columns
+    assert exports.export_analytics(t, f"{folder}/csv", "csv", limit=7) == 7
+    head = spark.read.text(f"{folder}/csv").first().value
+    assert head.startswith("id,given_name,family_name,email,") and head.count(",") == 18
+    assert exports.export_entity(t["contact_tags"], f"{folder}/tags", "csv", "tag_id = 3") > 0
+
+
 def test_scan_and_search(spark):
     df = spark.createDataFrame([(1, "Ann", None, "a@x"), (2, None, "Mann", "b@x"), (3, "Bo", "Lu", "ANN@x"), (4, "Al", "Z", None)],
                                "id bigint, given_name string, family_name string, email string")
