@@ -36,26 +36,54 @@ def _parent_keys(tables: Tables, parent: str) -> DataFrame:
 def lost_keys(tables: Tables, wanted: list[OrphanCheck]) -> DataFrame:
     """(child, fk, key, rows): every foreign key value without a parent and how often it is used.
 
-    All references are checked in one go. The keys are counted before they are shuffled, so a
-    value that a third of the rows share crosses as one row per map task, and of the child rows
-    nothing but their distinct keys moves.
+    All references are checked in one shuffle. Each child table is read once and unfolded into
+    its keys; keys and parent ids meet in one aggregate per (parent table, key), which counts the
+    uses per reference and sees whether the parent is there. Partial counts are made before the
+    shuffle, so a value that a third of the rows share crosses as one row per map task, and of
+    the tables nothing but their distinct keys moves.
     """
     pairs = {(c.entity.name, r.column): r for c in wanted for r in c.references}
-    used = []
-    for (child, column), ref in pairs.items():
-        keys = tables[child].select(
-            F.lit(child).alias("child"), F.lit(column).alias("fk"),
-            F.lit(ref.parent).alias("parent"), F.col(column).cast("bigint").alias("key"),
-        )
-        used.append(keys if ref.null_is_orphan else keys.filter(F.col(column).isNotNull()))
-    counted = union_all(used).groupBy("child", "fk", "parent", "key").agg(F.count("*").alias("rows"))
-    parents = union_all(
-        [
-            tables[p].select(F.lit(p).alias("parent"), F.col("id").cast("bigint").alias("key"))
-            for p in sorted({r.parent for r in pairs.values()})
+    parents = sorted({r.parent for r in pairs.values()})
+    # References are numbered within their parent; -1 stands for the parent's own ids.
+    slots = {p: [pair for pair, r in pairs.items() if r.parent == p] for p in parents}
+    rows = [
+        tables[p].select(
+            F.lit(number).alias("parent"), F.lit(-1).alias("slot"), F.col("id").cast("bigint").alias("key")
+        )
+        for number, p in enumerate(parents)
+    ]
+    for child in sorted({c for c, _ in pairs}):
+        uses = []
+        for (owner, column), ref in pairs.items():
+            if owner == child:
+                slot = slots[ref.parent].index((owner, column))
+                counts = F.lit(True) if ref.null_is_orphan else F.col(column).isNotNull()
+                uses.append(
+                    F.struct(
+                        F.lit(parents.index(ref.parent)).alias("parent"), F.lit(slot).alias("slot"),
+                        F.col(column).cast("bigint").alias("key"), counts.alias("counts"),
+                    )
+                )
+        unfolded = tables[child].select(F.inline(F.array(*uses)))
+        rows.append(unfolded.filter("counts").drop("counts"))
+    widest = range(max(len(s) for s in slots.values()))
+    met = union_all(rows).groupBy("parent", "key").agg(
+        F.max(F.col("slot") == -1).alias("present"),
+        *[F.count_if(F.col("slot") == i).alias(f"n{i}") for i in widest],
+    )
+    pieces = ", ".join(f"{i}, n{i}" for i in widest)
+    lost = met.filter("NOT present").select(
+        "parent", "key", F.expr(f"stack({len(widest)}, {pieces}) AS (slot, rows)")
+    )
+    names = F.array(
+        *[
+            F.array(*[F.struct(F.lit(c).alias("child"), F.lit(f).alias("fk")) for c, f in slots[p]])
+            for p in parents
         ]
     )
-    return counted.join(parents, ["parent", "key"], "left_anti").drop("parent")
+    name = F.get(F.get(names, F.col("parent")), F.col("slot"))
+    used = lost.filter("rows > 0")
+    return used.select(name.getField("child").alias("child"), name.getField("fk").alias("fk"), "key", "rows")
 
 
 def orphan_rows(tables: Tables, check: OrphanCheck, lost: DataFrame) -> DataFrame:

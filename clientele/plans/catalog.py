@@ -394,14 +394,7 @@ def _(t):
 @query("union_checks")
 def _(t):
     """All labelled counts of the validation pack under one heading."""
-    return checks.union_all(
-        [
-            checks.labelled(build(t), name, "check_name").withColumn(
-                "issue_count", F.col("issue_count").cast("bigint")
-            )
-            for name, build in validation.CHECKS.items()
-        ]
-    )
+    return validation.issue_counts(t).drop("failed")
 
 
 @query("order_reconciliation")

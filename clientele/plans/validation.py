@@ -18,13 +18,13 @@ def _count(find: Callable[[Tables], DataFrame]) -> Callable[[Tables], DataFrame]
     return lambda t: find(t).agg(F.count("*").alias("issue_count"))
 
 
-def _orphans(name: str, *columns: str) -> Callable[[Tables], DataFrame]:
-    check = checks.OrphanCheck(ENTITIES[name], columns)
-    return lambda t: checks.orphan_count(t, check, name="issue_count")
+def _orphans(name: str, *columns: str) -> checks.OrphanCheck:
+    return checks.OrphanCheck(ENTITIES[name], columns)
 
 
-# Each check gives one row with ``issue_count``.
-CHECKS: dict[str, Callable[[Tables], DataFrame]] = {
+# A reference check, or a function that gives one row with ``issue_count``.
+Check = checks.OrphanCheck | Callable[[Tables], DataFrame]
+CHECKS: dict[str, Check] = {
     "contact_tags_missing_contact_or_tag": _orphans("contact_tags"),
     "opps_missing_stage": _orphans("opportunities", "stage_id"),
     "opps_missing_pipeline": _orphans("opportunities", "pipeline_id"),
@@ -44,37 +44,46 @@ CHECKS: dict[str, Callable[[Tables], DataFrame]] = {
 }
 
 
-def validation_summary(
-    tables: Tables, pack: Mapping[str, Callable[[Tables], DataFrame]] = CHECKS
-) -> DataFrame:
-    """(check_name, issue_count, outcome) per check, and a ``TOTAL`` row with the verdict.
+def issue_counts(tables: Tables, pack: Mapping[str, Check] = CHECKS) -> DataFrame:
+    """(check_name, issue_count, failed) per check.
 
-    All checks run as one job. A check that cannot be built, because a table or column is
-    missing, is reported as an error and counts as one issue; the others still run.
+    The reference checks of the pack share one look at the foreign keys. A check that cannot be
+    built, because a table or column is missing, counts as one issue with ``failed`` set; the
+    others still run.
     """
-    parts = []
-    for name, build in pack.items():
+    spark = SparkSession.active()
+    references: dict[str, checks.OrphanCheck] = {}
+    parts, broken = [], []
+    for name, check in pack.items():
         try:
-            part = build(tables).select(
-                F.lit(name).alias("check_name"),
-                F.col("issue_count").cast("bigint").alias("issue_count"),
-                F.lit(False).alias("_error"),
-            )
+            if isinstance(check, checks.OrphanCheck):
+                checks.lost_keys(tables, [check])
+                references[name] = check
+            else:
+                found = check(tables).select(F.col("issue_count").cast("bigint").alias("issue_count"))
+                parts.append(checks.labelled(found, name, "check_name"))
         except (PySparkException, KeyError):
-            part = SparkSession.active().createDataFrame(
-                [(name, 1, True)], "check_name string, issue_count bigint, _error boolean"
-            )
-        parts.append(part)
-    each = checks.union_all(parts)
+            broken.append((name, 1, True))
+    if references:
+        parts.append(checks.orphan_counts(spark, tables, references, "check_name", "issue_count"))
+    parts = [p.withColumn("failed", F.lit(False)) for p in parts]
+    if broken:
+        shape = "check_name string, issue_count bigint, failed boolean"
+        parts.append(spark.createDataFrame(broken, shape))
+    return checks.union_all(parts)
+
+
+def validation_summary(tables: Tables, pack: Mapping[str, Check] = CHECKS) -> DataFrame:
+    """(check_name, issue_count, outcome) per check, and a ``TOTAL`` row with the verdict."""
     # ROLLUP adds the total over all checks in the same aggregate.
-    rolled = each.rollup("check_name").agg(
-        F.sum("issue_count").alias("issue_count"), F.max("_error").alias("_error")
+    rolled = issue_counts(tables, pack).rollup("check_name").agg(
+        F.sum("issue_count").alias("issue_count"), F.max("failed").alias("failed")
     )
     is_total = F.col("check_name").isNull()
     clean = F.col("issue_count") == 0
     outcome = (
         F.when(is_total, F.when(clean, "passed").otherwise("failed"))
-        .when(F.col("_error"), "error")
+        .when(F.col("failed"), "error")
         .when(clean, "clean")
         .otherwise(F.concat(F.col("issue_count").cast("string"), F.lit(" issues")))
     )

@@ -26,7 +26,7 @@ def _plain(value):
     if isinstance(value, decimal.Decimal):
         value = float(value)
     if isinstance(value, (int, float)):
-        return float(f"{float(value):.10g}") if isinstance(value, float) else value
+        return float(value) if isinstance(value, float) else value
     if isinstance(value, dt.datetime):
         return value.replace(tzinfo=None).isoformat()
     return value

@@ -96,10 +96,14 @@ def test_summary_counts_and_survives_a_broken_check(shop):
     without = {k: v for k, v in shop.items() if k != "payments"}
     rows = {r.check_name: r for r in validation_summary(without).collect()}
     assert rows["overpaid_orders"].outcome == "error" and len(rows) == len(CHECKS) + 1
+    without = {k: v for k, v in shop.items() if k != "pipelines"}
+    rows = {r.check_name: r for r in validation_summary(without).collect()}
+    assert rows["opps_missing_pipeline"].outcome == "error"
+    assert rows["opps_missing_stage"].outcome == "1 issues"
 
 
 def test_summary_passes_on_clean_data(shop):
-    only = {"opps": lambda t: checks.orphan_count(t, checks.OrphanCheck(ENTITIES["opportunities"], ("contact_id",)), "issue_count")}
+    only = {"opps": checks.OrphanCheck(ENTITIES["opportunities"], ("contact_id",))}
     clean = {**shop, "opportunities": shop["opportunities"].filter("id = 1")}
     rows = {r.check_name: r.outcome for r in validation_summary(clean, only).collect()}
     assert rows == {"opps": "clean", "TOTAL": "passed"}
