@@ -179,17 +179,19 @@ def fk_report(spark: SparkSession, tables: Tables) -> DataFrame:
 
 
 def orphan_note_samples(tables: Tables, limit: int = 10) -> DataFrame:
-    """The first orphan notes by id, their bodies cut for display."""
+    """The first orphan notes by id, their bodies cut for display.
+
+    Only ids are shuffled; the bodies of the ``limit`` chosen notes are fetched afterwards.
+    """
     contacts = _parent_keys(tables, "contacts")
-    lost = (
-        tables["notes"]
-        .filter("contact_id IS NOT NULL")
-        .join(contacts, F.col("contact_id") == F.col("_parent"), "left_anti")
-    )
+    ids = tables["notes"].select("id", "contact_id").filter("contact_id IS NOT NULL")
+    lost = ids.join(contacts, F.col("contact_id") == F.col("_parent"), "left_anti")
+    chosen = F.broadcast(lost.orderBy("id").limit(limit).select("id"))
     body = F.when(
         F.length("body") > 100, F.concat(F.substring("body", 1, 100), F.lit("..."))
     ).otherwise(F.col("body"))
-    return lost.orderBy("id").limit(limit).select("id", "contact_id", body.alias("body"), "created_at")
+    rows = tables["notes"].join(chosen, "id", "left_semi").orderBy("id")
+    return rows.select("id", "contact_id", body.alias("body"), "created_at")
 
 
 def one_row(counts: Mapping[str, DataFrame]) -> DataFrame:

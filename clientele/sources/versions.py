@@ -77,6 +77,18 @@ class VersionedTable:
             table = table.unionByName(frame)
         return table.drop(_PART)
 
+    def _ranges(self, rows: DataFrame) -> set[int]:
+        """The key ranges the rows fall in; one number per range."""
+        return {r[0] for r in self._with_part(rows).select(_PART).distinct().collect()}
+
+    def _within(self, ranges: set[int]) -> DataFrame:
+        hit = [e.asDict() | {"parts": [p for p in e.parts if p in ranges]} for e in self._live]
+        return self._read([Row(**e) for e in hit])
+
+    def near(self, rows: DataFrame) -> DataFrame:
+        """The stored rows in the key ranges that ``rows`` fall in. The table must exist."""
+        return self._within(self._ranges(rows))
+
     def _with_part(self, df: DataFrame) -> DataFrame:
         part = F.floor(F.col(self.key[0]) / self.part_width).cast("bigint")
         return df.withColumn(_PART, F.coalesce(part, F.lit(0)))
@@ -106,13 +118,11 @@ class VersionedTable:
 
     def merge(self, updates: DataFrame, order: tuple[str, ...] = (), tag: int | None = None) -> None:
         """Insert or replace on the key; see ``merge_rows``. The table must exist."""
-        touched = self._with_part(updates).select(_PART).distinct().collect()
-        ranges = {r[0] for r in touched}
+        ranges = self._ranges(updates)
         if not ranges:
             kept = [(e.folder, e.parts) for e in self._live]
             return self._switch(kept, self._live[0].layout, tag)
-        hit = [e.asDict() | {"parts": [p for p in e.parts if p in ranges]} for e in self._live]
-        old = self._read([Row(**e) for e in hit])
+        old = self._within(ranges)
         new = self._write_folder(merge_rows(old, updates, self.key, order))
         kept = [(e.folder, [p for p in e.parts if p not in ranges]) for e in self._live]
         folders = [entry for entry in kept if entry[1]] + [new]

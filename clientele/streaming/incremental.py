@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,32 +95,34 @@ class IncrementalLoad:
         replayed long after does not bring old values back. The version remembers the last
         batch it holds; a merge that died is simply done again.
         """
-        merged_to = self.table.last_tag()
-        current = self.table.current()
+        table = self.table
         if not path_exists(self.spark, self.changes):
-            return current
+            return table.current()
         batches = self.spark.read.parquet(self.changes)
-        if merged_to is not None:
-            batches = batches.filter(F.col("batch") > merged_to)
+        if table.last_tag() is not None:
+            batches = batches.filter(F.col("batch") > table.last_tag())
         newest_batch = batches.agg(F.max("batch")).first()[0]
         if newest_batch is None:
-            return current
+            return table.current()
+        good = good_rows(batches.drop("landed_at"))
         order = (self.version_column, "batch", *ARRIVAL)
-        changed = latest_per_key(good_rows(batches.drop("landed_at")), self.entity.key, order)
-        changed = changed.drop("batch", *ARRIVAL)
-        if current is None:
-            self.table.replace(changed, tag=newest_batch)
-        else:
-            self.table.merge(self._newer_than(changed, current), tag=newest_batch)
-        return self.table.current()
+        changed = latest_per_key(good, self.entity.key, order).drop("batch", *ARRIVAL)
+        if not table.version:
+            table.replace(changed, tag=newest_batch)
+            return table.current()
+        # Stored, so that the merge does not repeat this work and Catalyst knows its size.
+        staged = f"{self.changes}-merging/{uuid.uuid4().hex}"
+        self._newer_than(changed, table.near(good)).write.parquet(staged)
+        table.merge(self.spark.read.parquet(staged), tag=newest_batch)
+        return table.current()
 
     def rejected(self) -> DataFrame:
         """Landed records that could not be loaded, with the page and the reason."""
         return rejected_rows(self.spark.read.parquet(self.changes), keep=("page", "pos"))
 
-    def _newer_than(self, changed: DataFrame, current: DataFrame) -> DataFrame:
+    def _newer_than(self, changed: DataFrame, near: DataFrame) -> DataFrame:
         """Changes that are not older than the stored row of their key."""
-        stored = current.select(*self.entity.key, F.col(self.version_column).alias("_stored"))
+        stored = near.select(*self.entity.key, F.col(self.version_column).alias("_stored"))
         older = F.col(self.version_column) < F.col("_stored")
         both = changed.join(stored, list(self.entity.key), "left")
         return both.filter(F.coalesce(~older, F.lit(True))).drop("_stored")
