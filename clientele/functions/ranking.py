@@ -6,6 +6,31 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 BLOCK_BITS = 16
+LEVELS = 3  # blocks of 2**16, 2**32 and 2**48 values; above that at most 2**16 are left
+
+
+def _block_starts(sizes: DataFrame, group: list[str], descending: bool, level: int) -> DataFrame:
+    """(group, _block, _start) from (group, _block, _n): the rows in the blocks before each.
+
+    Blocks are summed up inside larger blocks, level by level, so that a window never sees more
+    than 2**16 of them, however the values are spread.
+    """
+    earlier = F.desc("_block") if descending else F.asc("_block")
+    if level == LEVELS:
+        window = Window.partitionBy(*group).orderBy(earlier)
+        above = sizes.withColumn("_above", F.lit(0))
+    else:
+        parted = sizes.withColumn("_larger", F.shiftright("_block", BLOCK_BITS))
+        larger = parted.groupBy(*group, F.col("_larger").alias("_block")).agg(F.sum("_n").alias("_n"))
+        starts = _block_starts(larger, group, descending, level + 1).select(
+            *group, F.col("_block").alias("_larger"), F.col("_start").alias("_above")
+        )
+        window = Window.partitionBy(*group, "_larger").orderBy(earlier)
+        above = parted.join(starts, [*group, "_larger"])
+    before = F.sum("_n").over(window.rowsBetween(Window.unboundedPreceding, -1))
+    return above.select(
+        *group, "_block", (F.col("_above") + F.coalesce(before, F.lit(0))).alias("_start")
+    )
 
 
 def rank_within(
@@ -13,19 +38,14 @@ def rank_within(
 ) -> DataFrame:
     """``row_number() OVER (PARTITION BY group ORDER BY order)`` without one task per group.
 
-    ``order`` is an integer that is unique inside its group, such as a serial id. Rows are cut
-    into blocks of 2**16 consecutive values; a row's rank is the number of rows in the blocks
-    before its own plus its place inside the block. A group that holds a third of the table is
-    thus spread over as many tasks as it has blocks, and only block counts meet in one task.
+    ``order`` is an integer that is unique inside its group, such as an id. Rows are cut into
+    blocks of 2**16 consecutive values; a row's rank is the number of rows in the blocks before
+    its own plus its place inside the block. A group that holds a third of the table is thus
+    spread over as many tasks as it has blocks.
     """
-    block = F.shiftright(F.col(order), BLOCK_BITS)
-    rows = df.withColumn("_block", block)
+    rows = df.withColumn("_block", F.shiftright(F.col(order), BLOCK_BITS))
     sizes = rows.groupBy(*group, "_block").agg(F.count("*").alias("_n"))
-    earlier = F.desc("_block") if descending else F.asc("_block")
-    before = Window.partitionBy(*group).orderBy(earlier).rowsBetween(Window.unboundedPreceding, -1)
-    starts = sizes.select(
-        *group, "_block", F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_start")
-    )
+    starts = _block_starts(sizes, group, descending, 1)
     inside = Window.partitionBy(*group, "_block").orderBy(
         F.desc(order) if descending else F.asc(order)
     )

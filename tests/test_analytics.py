@@ -87,6 +87,18 @@ def test_rank_equals_row_number(spark, descending):
     assert both.filter("rank != want").count() == 0
 
 
+@pytest.mark.parametrize("descending", [False, True])
+def test_rank_of_scattered_values(spark, descending):
+    """Values all over the 64-bit range, negative ones too, so that every level of blocks counts."""
+    rows = spark.range(3000).selectExpr("xxhash64(id) AS id", "CAST(id % 2 AS STRING) AS g")
+    rows = rows.unionByName(spark.range(70_000).selectExpr("id * 65536 AS id", "'h' AS g"))
+    ranked = rank_within(rows, ["g"], "id", descending=descending)
+    way = "DESC" if descending else "ASC"
+    plain = rows.selectExpr("id", "g", f"row_number() OVER (PARTITION BY g ORDER BY id {way}) AS want")
+    both = ranked.join(plain, ["id", "g"])
+    assert both.count() == 73_000 and both.filter("rank != want").count() == 0
+
+
 def test_contact_counts_against_the_literal_join(spark, shop):
     for n in shop:
         shop[n].createOrReplaceTempView(f"t_{n}")
