@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import mixing, ngram_quality, url_filter
+from clientele.llm import decontaminate, mixing, ngram_quality, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -105,3 +105,8 @@ def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_quality(spark, sf_dir):
     judged = ngram_quality.judge_quality(table(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
     return judged.select("doc_id", "lang", "perplexity", "threshold", "keep")
+
+
+@query("op6_decontamination")
+def op6_decontamination(spark, sf_dir):
+    return decontaminate.leaked_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
