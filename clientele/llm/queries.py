@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import decontaminate, mixing, ngram_quality, url_filter
+from clientele.llm import decontaminate, mixing, near_dups, ngram_quality, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -110,3 +110,8 @@ def op10_quality(spark, sf_dir):
 @query("op6_decontamination")
 def op6_decontamination(spark, sf_dir):
     return decontaminate.leaked_pairs(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query("op5_near_dups")
+def op5_near_dups(spark, sf_dir):
+    return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
