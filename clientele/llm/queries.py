@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import decontaminate, mixing, near_dups, ngram_quality, url_filter
+from clientele.llm import decontaminate, mixing, near_dups, ngram_quality, pii, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -115,3 +115,12 @@ def op6_decontamination(spark, sf_dir):
 @query("op5_near_dups")
 def op5_near_dups(spark, sf_dir):
     return near_dups.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query("op2_pii")
+def op2_pii(spark, sf_dir):
+    spanned = pii.with_spans(table(spark, sf_dir, "documents"))
+    counts = [pii.counted("base", k).alias(f"n_{name}") for k, name in enumerate(pii.KINDS)]
+    return spanned.select(
+        "row.doc_id", *counts, F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("spans").alias("spans")
+    )
