@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import decontaminate, mixing, near_dups, ngram_quality, pii, url_filter
+from clientele.llm import decontaminate, mixing, near_dups, ngram_quality, pii, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -124,3 +124,13 @@ def op2_pii(spark, sf_dir):
     return spanned.select(
         "row.doc_id", *counts, F.sha2(pii.listed("base"), 256).alias("base_sha256"), pii.listed("spans").alias("spans")
     )
+
+
+@query("op3_toxicity")
+def op3_toxicity(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string")) % 5 == 0, F.lit(False))
+    model = toxicity.fit(docs, table(spark, sf_dir, "labels").where(~held_out).select("doc_id", "toxic"))
+    return model.score(docs.select("doc_id", held_out.alias("held_out"), "text")).select(
+        "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
+    )
