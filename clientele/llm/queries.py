@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import decontaminate, mixing, near_dups, ngram_quality, pii, toxicity, url_filter
+from clientele.llm import decontaminate, mixing, near_dups, ngram_quality, phrases, pii, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -134,3 +134,8 @@ def op3_toxicity(spark, sf_dir):
     return model.score(docs.select("doc_id", held_out.alias("held_out"), "text")).select(
         "doc_id", "held_out", "score", (F.col("score") >= 0.5).cast("int").alias("predicted")
     )
+
+
+@query("op4_phrases")
+def op4_phrases(spark, sf_dir):
+    return phrases.compare_with_next(table(spark, sf_dir, "documents"))
