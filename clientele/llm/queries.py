@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import decontaminate, html_text, mixing, near_dups, ngram_quality, phrases, pii, toxicity, url_filter
+from clientele.llm import decontaminate, html_text, mixing, near_dups, ngram_quality, phrases, pii, substrings, toxicity, url_filter
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -145,3 +145,8 @@ def op4_phrases(spark, sf_dir):
 def op8_html_text(spark, sf_dir):
     out = html_text.extract(table(spark, sf_dir, "pages").select("page_id", "url", "html"))
     return out.select("row.page_id", "row.url", "text", F.char_length("text").cast("bigint").alias("n_chars"))
+
+
+@query("op9_substrings")
+def op9_substrings(spark, sf_dir):
+    return substrings.remove_repeats(table(spark, sf_dir, "documents"))

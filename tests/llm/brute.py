@@ -39,3 +39,24 @@ def pii_row(text):
     joined = ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
     counts = tuple(sum(s[0] == k for s in spans) for k in PATTERNS)
     return (*counts, hashlib.sha256(joined.encode()).hexdigest())
+
+
+def repeats(rows, length=50):
+    """{index: (n_bytes, n_removed, n_spans, sha256)} for rows of (doc_id, text)."""
+    first = {}
+    order = [2**63 - 1 if i is None else i for i, _ in rows]
+    data = [(t or "").encode() for _, t in rows]
+    for at, b in zip(order, data):
+        for p in range(len(b) - length + 1):
+            s = b[p : p + length]
+            first[s] = min(at, first.get(s, at))
+    out = []
+    for at, b in zip(order, data):
+        gone = bytearray(len(b))
+        for p in range(len(b) - length + 1):
+            if first[b[p : p + length]] < at:
+                gone[p : p + length] = b"\x01" * length
+        spans = sum(1 for i, g in enumerate(gone) if g and (i == 0 or not gone[i - 1]))
+        kept = bytes(c for c, g in zip(b, gone) if not g)
+        out.append((len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
+    return out
