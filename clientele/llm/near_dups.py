@@ -12,7 +12,7 @@ bucket meets the bucket's most connected node, in a group of near copies mostly
 Linked nodes form classes, and what remains apart goes on: buckets that still hold several classes
 are cut into chunks of some ``CHUNK`` nodes, by another hash in every band and round, and every node
 outside the chunk's main class is paired with its ``NEAREST`` nodes of other classes by the share of
-equal signature components, four times as many in every round, until a round finds no link. So rows stay in proportion to the
+equal signature components, until a round finds no link. So rows stay in proportion to the
 buckets, whatever their size, and no pair inside a class is formed. Compared pairs are verified on
 the exact weighted Jaccard similarity of the whole texts.
 
@@ -163,6 +163,13 @@ def overlap(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Serie
         yield pd.Series(out, dtype="float64")
 
 
+@F.pandas_udf(T.DoubleType())
+def alike(left: pd.Series, right: pd.Series) -> pd.Series:
+    """Share of equal bytes of two sketches."""
+    a, b = (np.frombuffer(b"".join(map(bytes, x)), np.uint8).reshape(-1, SIZE) for x in (left, right))
+    return pd.Series((a == b).mean(axis=1))
+
+
 def saved(df: DataFrame, label: str) -> DataFrame:
     """``df`` written to the shared folder and read back, which cuts its lineage."""
     folder, schema = work_dir(df.sparkSession, label), df.schema
@@ -205,7 +212,7 @@ def with_sketch(bodies: DataFrame) -> DataFrame:
     return bodies.mapInArrow(run, "node binary, text binary, sketch binary")
 
 
-def promising(table: pa.Table, nearest: int) -> pa.Table:
+def promising(table: pa.Table) -> pa.Table:
     """Pairs (a, b) of a chunk: nodes outside its main class and their nearest in other classes."""
     sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SIZE)
     kind = np.unique(np.array(table["class"].to_pylist(), object), return_inverse=True)[1]
@@ -217,7 +224,7 @@ def promising(table: pa.Table, nearest: int) -> pa.Table:
         for k in range(SIZE):
             same += sketch[part, k][:, None] == sketch[:, k][None, :]
         same[kind[part][:, None] == kind[None, :]] = 0
-        top = np.argsort(same, axis=1, kind="stable")[:, -nearest:]
+        top = np.argsort(same, axis=1, kind="stable")[:, -NEAREST:]
         x, y = np.nonzero(np.take_along_axis(same, top, 1) >= PROMISING * SIZE)
         rows.append(part[x])
         others.append(top[x, y])
@@ -246,6 +253,10 @@ def classes_of_nodes(texts: DataFrame) -> DataFrame:
         pairs = pairs.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
         if tested is not None:
             pairs = pairs.join(tested, ["a", "b"], "left_anti")
+        # Texts are fetched for pairs whose signatures allow the similarity.
+        for end in ("a", "b"):
+            pairs = pairs.join(bodies.select(F.col("node").alias(end), F.col("sketch").alias(f"sketch_{end}")), end)
+        pairs = pairs.where(alike("sketch_a", "sketch_b") >= PROMISING).select("a", "b")
         left = bodies.select(F.col("node").alias("a"), F.col("text").alias("left"))
         right = bodies.select(F.col("node").alias("b"), F.col("text").alias("right"))
         judged = pairs.join(left, "a").join(right, "b").select("a", "b", overlap("left", "right").alias("likeness"))
@@ -261,14 +272,7 @@ def classes_of_nodes(texts: DataFrame) -> DataFrame:
         chunk = F.pmod(F.xxhash64("node", "band", F.lit(turn)), F.ceil(F.col("n") / CHUNK))
         placed = placed.join(several.select("band"), "band").join(bodies.select("node", "sketch"), "node")
         chunks = placed.select("band", chunk.alias("chunk"), "node", "class", "sketch").groupBy("band", "chunk")
-        pairs = chunks.applyInArrow(_proposer(NEAREST * 4 ** (turn - 1)), "a binary, b binary")
-
-
-def _proposer(nearest: int):
-    def near(table: pa.Table) -> pa.Table:
-        return promising(table, nearest)
-
-    return near
+        pairs = chunks.applyInArrow(promising, "a binary, b binary")
 
 
 def merged(labels: DataFrame, links: DataFrame) -> DataFrame:
