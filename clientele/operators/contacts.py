@@ -65,7 +65,8 @@ def _children_per_contact(tables: Tables) -> DataFrame:
 
     def child(name: str, kind: str) -> DataFrame:
         value = F.col("value") if name == "opportunities" else F.lit(None)
-        return tables[name].select(
+        rows = tables[name].filter("tag_id IS NOT NULL") if name == "contact_tags" else tables[name]
+        return rows.select(
             "contact_id", F.lit(kind).alias("kind"), value.cast("decimal(15,2)").alias("value")
         )
 

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from clientele.functions.payload import field_column, iso_timestamp, parse_payload
 from clientele.plans.specs import Entity
@@ -96,7 +97,17 @@ def contact_emails(contacts: DataFrame) -> DataFrame:
 
 
 def json_payload(table: DataFrame, name: str = "raw") -> DataFrame:
-    """Add the whole row as JSON; timestamps inside become ISO strings."""
+    """Add the whole row as JSON; timestamps become ISO strings, with microseconds unless 0."""
     formats = {"timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss", "ignoreNullFields": "false"}
     formats["timestampFormat"] = "yyyy-MM-dd'T'HH:mm:ssXXX"
-    return table.withColumn(name, F.to_json(F.struct(*table.columns), formats))
+
+    def iso(field: T.StructField):
+        col = F.col(f"`{field.name}`")
+        if not isinstance(field.dataType, (T.TimestampType, T.TimestampNTZType)):
+            return col
+        zone = "XXX" if isinstance(field.dataType, T.TimestampType) else ""
+        whole = col == F.date_trunc("second", col)
+        short, long = (F.date_format(col, f"yyyy-MM-dd'T'HH:mm:ss{part}{zone}") for part in ("", ".SSSSSS"))
+        return F.when(whole, short).otherwise(long).alias(field.name)
+
+    return table.withColumn(name, F.to_json(F.struct(*map(iso, table.schema.fields)), formats))

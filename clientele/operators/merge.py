@@ -18,14 +18,20 @@ def latest_per_key(rows: DataFrame, key: tuple[str, ...], order: tuple[str, ...]
     return rows.withColumn("_rn", F.row_number().over(last)).filter("_rn = 1").drop("_rn")
 
 
+def default_order(rows: DataFrame, key: tuple[str, ...]) -> tuple[str, ...]:
+    """An order for rows without arrival order: by ``updated_at`` where there is one, then by content."""
+    content = [c for c, kind in rows.dtypes if c not in (*key, "updated_at") and "map<" not in kind]
+    return (*[c for c in rows.columns if c == "updated_at"], *content)
+
+
 def merge_rows(
     target: DataFrame, updates: DataFrame, key: tuple[str, ...], order: tuple[str, ...] = ()
 ) -> DataFrame:
     """Insert or replace on ``key``; a replaced row takes every column of the update, NULLs too.
 
-    With ``order`` the updates may hold several rows per key, of which the last one wins.
+    Of several updates of a key the last by ``order`` wins; without one, ``default_order`` decides.
     """
-    last = latest_per_key(updates, key, order) if order else updates
+    last = latest_per_key(updates, key, order or default_order(updates, key))
     last = last.select(*target.columns)
     untouched = target.join(last.select(*key), list(key), "left_anti")
     return untouched.select(*target.columns).unionByName(last)
@@ -91,9 +97,9 @@ def fold_run_log(events: DataFrame) -> DataFrame:
 
 
 def retain_runs(runs: DataFrame, as_of: str, days: int) -> DataFrame:
-    """Runs that started within ``days`` before ``as_of``."""
+    """Runs that did not start more than ``days`` before ``as_of``; a run without a start stays."""
     cutoff = F.expr(f"TIMESTAMP_NTZ'{as_of}'") - F.expr(f"INTERVAL {int(days)} DAYS")
-    return runs.filter(F.col("started_at") >= cutoff)
+    return runs.filter(F.col("started_at").isNull() | (F.col("started_at") >= cutoff))
 
 
 def retain_children(child: DataFrame, kept_runs: DataFrame) -> DataFrame:

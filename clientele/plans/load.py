@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from clientele.operators.flatten import delta_since, good_rows, with_reason
-from clientele.operators.merge import latest_per_key
+from clientele.operators.merge import default_order, latest_per_key
 from clientele.plans.specs import ENTITIES, LOAD_ORDER, Entity
 from clientele.sources.versions import VersionedTable
 
@@ -41,25 +41,29 @@ def load_entity(
 ) -> tuple[int, int]:
     """Flatten, filter, merge and switch to the new version; (loaded, rejected) counts.
 
-    ``records`` has ``raw`` and, where records of a key may repeat, ``seq`` in arrival order.
+    ``records`` has ``raw`` and ``seq``, the arrival order that ``ingest_pages`` gives; the last
+    record of a key is merged. Without ``seq`` the newest, then the greatest payload counts as last.
     The typed rows are staged as Parquet first: the payloads are parsed once although the merge
     reads them twice, and the rejected ones stay there with their reason.
     """
-    order = ("seq",) if "seq" in records.columns else ()
+    arrival = ("seq",) if "seq" in records.columns else ()
     folder = f"{store}/staged/{entity.name}/{uuid.uuid4().hex}"
-    with_reason(records, entity, keep=order).write.parquet(folder)
+    with_reason(records, entity, keep=arrival).write.parquet(folder)
     staged = spark.read.parquet(folder)
     good = F.count_if(F.col("reason").isNull())
     loaded, tried = staged.agg(good, F.count("*")).first()
+    rejected = tried - loaded
     fresh = good_rows(staged)
     if since and "updated_at" in entity.columns:
         fresh = delta_since(fresh, since)
+        loaded = fresh.count()
+    order = arrival or default_order(fresh, entity.key)
     table = VersionedTable(spark, f"{store}/{entity.name}", entity.key)
     if table.version:
         table.merge(fresh, order)
     else:
-        table.replace(latest_per_key(fresh, entity.key, order).drop(*order) if order else fresh)
-    return loaded, tried - loaded
+        table.replace(latest_per_key(fresh, entity.key, order).drop(*arrival))
+    return loaded, rejected
 
 
 def ordered_load(
@@ -92,7 +96,7 @@ def ordered_load(
                 rows, rejected = load_entity(spark, store, entity, records, since)
                 row = (position, entity.name, "loaded", rows, rejected, None)
         except Exception as error:  # reported in the manifest, as the caller chose to go on or stop
-            detail = f"{type(error).__name__}: {error}"[:500]
+            detail = f"{type(error).__name__}: {error}"
             row = (position, entity.name, "failed", 0, 0, detail)
         manifest.append(row)
         took_ms.append(int(1000 * (time.monotonic() - clock)))

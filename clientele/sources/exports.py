@@ -127,6 +127,6 @@ def export_all(
             rows = export_entity(tables[name](), f"{out}/{name}", fmt, where, limit)
             manifest.append((name, fmt, "ok" if rows else "empty", rows, None))
         except Exception as error:  # the manifest reports it; the other tables go on
-            manifest.append((name, fmt, "error", 0, str(error)[:500]))
+            manifest.append((name, fmt, "error", 0, str(error)))
     schema = "table_name string, format string, status string, rows bigint, detail string"
     return spark.createDataFrame(manifest, schema)

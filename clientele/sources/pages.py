@@ -11,13 +11,21 @@ _ENVELOPE = ", ".join(f"`{key}` array<string>" for key in ENVELOPE_KEYS)
 
 
 def read_pages(spark: SparkSession, path: str, *, one_page_per_file: bool = False) -> DataFrame:
-    """Page texts with the file they came from.
+    """Page texts with the file they came from and ``arrival``, their order.
+
+    Files arrive by modification time and name; inside a file, blocks by offset and lines in order.
 
     Pages land one per line, so large files split. ``one_page_per_file`` is for pretty-printed
     pages; a page holds at most a thousand records, so such a file fits in one row.
     """
     text = spark.read.text(path, wholetext=one_page_per_file)
-    return text.select("value", F.col("_metadata.file_path").alias("page"))
+    arrival = F.struct(
+        F.col("_metadata.file_modification_time").alias("landed"),
+        F.col("_metadata.file_path").alias("file"),
+        F.col("_metadata.file_block_start").alias("block"),
+        F.monotonically_increasing_id().alias("line"),
+    )
+    return text.select("value", F.col("_metadata.file_path").alias("page"), arrival.alias("arrival"))
 
 
 def unwrap_pages(pages: DataFrame) -> DataFrame:
@@ -40,7 +48,9 @@ def unwrap_pages(pages: DataFrame) -> DataFrame:
 
 
 def ingest_pages(spark: SparkSession, path: str, **options) -> DataFrame:
-    return unwrap_pages(read_pages(spark, path, **options))
+    """Records with ``page``, ``pos``, ``raw`` and ``seq``, the order in which they arrived."""
+    rows = unwrap_pages(read_pages(spark, path, **options))
+    return rows.withColumn("seq", F.struct("arrival.*", "pos")).drop("arrival")
 
 
 def to_pages(records: DataFrame, envelope: str | None, page_size: int = 1000) -> DataFrame:
