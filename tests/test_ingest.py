@@ -41,7 +41,7 @@ def test_pages_from_files(spark):
     folder = work_dir(spark, "pages")
     pages(spark, '{"tags":[{"id":1}]}', '[{"id":2}]').write.text(folder)
     rows = ingest_pages(spark, folder)
-    assert rows.columns == ["page", "pos", "raw"]
+    assert rows.columns == ["page", "pos", "raw", "seq"]
     assert rows.count() == 2
     pretty = work_dir(spark, "pretty")
     spark.createDataFrame([('{"tags":\n [{"id":1},\n {"id":2}]}',)], "value string").coalesce(1).write.text(pretty)
@@ -144,3 +144,28 @@ def test_emails_and_tags(spark, shop):
 def test_payload_column_has_iso_dates(spark):
     row = json_payload(spark.sql("SELECT 1 AS id, TIMESTAMP'2024-01-02 03:04:05' AS t, NULL AS x"))
     assert json.loads(row.first().raw) == {"id": 1, "t": "2024-01-02T03:04:05Z", "x": None}
+
+
+def test_the_last_record_of_a_key_is_loaded(spark, tmp_path):
+    from clientele.plans.load import ordered_load
+    from clientele.sources.pages import ingest_pages
+    from clientele.sources.versions import VersionedTable
+
+    pages = ['{"users":[{"id":1,"given_name":"old"},{"id":2,"given_name":"two"}]}', '{"users":[{"id":1,"given_name":"new"}]}']
+    (tmp_path / "users").mkdir()
+    (tmp_path / "users" / "pages.txt").write_text("\n".join(pages))
+    store = str(tmp_path / "store")
+    arrived = ingest_pages(spark, str(tmp_path / "users"))
+    for records in (arrived, arrived, arrived.select("raw")):
+        ordered_load(spark, store, {"users": records}, ["users"])
+        rows = VersionedTable(spark, f"{store}/users", ("id",)).current().select("id", "given_name").collect()
+        assert sorted(r.id for r in rows) == [1, 2]
+        if "seq" in records.columns:
+            assert {r.id: r.given_name for r in rows} == {1: "new", 2: "two"}
+
+
+def test_payload_times_keep_microseconds(spark):
+    from clientele.operators.flatten import json_payload
+
+    rows = spark.sql("SELECT TIMESTAMP_NTZ'2024-01-02 03:04:05.678901' AS a, TIMESTAMP_NTZ'2024-01-02 03:04:05' AS b")
+    assert json_payload(rows).first().raw == '{"a":"2024-01-02T03:04:05.678901","b":"2024-01-02T03:04:05"}'
