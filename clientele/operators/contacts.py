@@ -7,7 +7,6 @@ from collections.abc import Mapping
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.functions.ranking import rank_within
 from clientele.operators.checks import duplicate_email_groups, labelled, one_row, union_all
 from clientele.operators.flatten import contact_emails
 
@@ -96,7 +95,7 @@ def contact_analytics(tables: Tables, *, fanout: bool = False) -> DataFrame:
     """One row per contact with child counts and the value of its opportunities.
 
     ``fanout`` gives the sum a join of all four children would give, in which every value is
-    repeated once per task, note and tag of the contact.
+    repeated once per task, note and tag of the contact; a sum of 10^36 or more is NULL.
     """
     base = contacts_with_relationships(tables).select(
         F.col("id").alias("contact_id"), "given_name", "family_name", "email", "email_status",
@@ -110,10 +109,8 @@ def contact_analytics(tables: Tables, *, fanout: bool = False) -> DataFrame:
     )
     value = F.col("opportunity_value")
     if fanout:
-        copies = F.lit(1)
         for name in ("task_count", "note_count", "tag_count"):
-            copies = copies * F.greatest(F.col(name), F.lit(1))
-        value = value * copies.cast("decimal(13,0)")
+            value = F.try_multiply(value, F.greatest(F.col(name), F.lit(1)).cast("decimal(19,0)"))
     return joined.select(
         "contact_id", "given_name", "family_name", "email", "email_status", "email_opted_in",
         "score_value", "company_name", "company_website", "owner_email", *counts,
@@ -153,23 +150,18 @@ def spot_check_counts(tables: Tables, seed: str, size: int = 20) -> DataFrame:
 # --- duplicates ------------------------------------------------------------------------
 
 
-def duplicate_emails(contacts: DataFrame, limit: int = 100, part_size: int = 10_000) -> DataFrame:
-    """The most repeated addresses with the ids that share them, in id order.
+def duplicate_emails(contacts: DataFrame, limit: int = 100) -> DataFrame:
+    """The most repeated addresses, one row per address and contact that lists it.
 
-    The groups are found by counting alone, and only the top ``limit`` addresses (a bounded
-    list) are sent back to look up their ids. A group of any size is then ranked in blocks and
-    its ids come in parts of ``part_size``; up to that size a group is a single row.
+    ``dupes`` counts the group; ``times`` is how often the contact lists the address. The groups
+    are found by counting alone, and only the top ``limit`` of them look up their contacts; no
+    group is gathered in one task or one row.
     """
     emails = contact_emails(contacts)
     top = duplicate_email_groups(contacts).orderBy(F.desc("dupes"), "email").limit(limit)
-    members = emails.join(F.broadcast(top), "email")
-    # One contact may list the same address twice, so ids repeat inside a group.
-    per_id = members.groupBy("email", "dupes", "id").agg(F.count("*").alias("_times"))
-    ranked = rank_within(per_id, ["email"], "id")
-    part = F.floor((F.col("rank") - 1) / part_size).cast("bigint")
-    ids = F.array_sort(F.collect_list(F.struct("id", "_times")))
-    repeated = F.flatten(F.transform(ids, lambda e: F.array_repeat(e["id"], e["_times"].cast("int"))))
-    return ranked.groupBy("email", "dupes", part.alias("part")).agg(repeated.alias("contact_ids"))
+    members = emails.join(top, "email")
+    per_id = members.groupBy("email", "dupes", F.col("id").alias("contact_id"))
+    return per_id.agg(F.count("*").alias("times"))
 
 
 # --- coverage --------------------------------------------------------------------------

@@ -58,14 +58,21 @@ def parse_timestamps(df: DataFrame, column: str, name: str) -> DataFrame:
 
 
 def delta_since(rows: DataFrame, since: str) -> DataFrame:
-    """Rows created or modified at or after ``since``; an unparseable ``since`` keeps all."""
+    """Rows created or modified at or after ``since``; an unparseable ``since`` keeps all.
+
+    Of ``created_at`` and ``updated_at``, those count that the table has.
+    """
     moment = iso_timestamp(F.lit(since))
 
     def reached(column: str):
         # Cast the constant, not the column, so that the comparison reaches the Parquet scan.
         return F.col(column) >= moment.cast(rows.schema[column].dataType)
 
-    return rows.filter(moment.isNull() | reached("created_at") | reached("updated_at"))
+    wanted = moment.isNull()
+    for column in ("created_at", "updated_at"):
+        if column in rows.columns:
+            wanted = wanted | reached(column)
+    return rows.filter(wanted)
 
 
 def tag_links(contacts: DataFrame) -> DataFrame:

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 
 from clientele.operators.flatten import delta_since, good_rows, with_reason
 from clientele.operators.merge import default_order, latest_per_key
-from clientele.plans.specs import ENTITIES, LOAD_ORDER, Entity
+from clientele.plans.specs import ENTITIES, LOAD_ORDER, META_KEYS, Entity
 from clientele.sources.versions import VersionedTable
 
 MANIFEST = "position int, entity string, status string, rows bigint, rejected bigint, detail string"
@@ -26,6 +26,15 @@ def append_metrics(rows: DataFrame, path: str) -> None:
     rows.hint("rebalance", "run_id").write.mode("append").partitionBy("run_id").parquet(path)
 
 
+def upsert(spark: SparkSession, path: str, key: tuple[str, ...], rows: DataFrame) -> None:
+    """Insert or replace rows of a stored metadata table, so that a repeated run leaves one per key."""
+    table = VersionedTable(spark, path, key)
+    if table.version:
+        table.merge(rows)
+    else:
+        table.replace(rows)
+
+
 def in_load_order(names: list[str] | None) -> list[Entity]:
     """The chosen entities, parents first; an unknown name is an error."""
     if names is None:
@@ -54,7 +63,7 @@ def load_entity(
     loaded, tried = staged.agg(good, F.count("*")).first()
     rejected = tried - loaded
     fresh = good_rows(staged)
-    if since and "updated_at" in entity.columns:
+    if since and {"created_at", "updated_at"} & set(fresh.columns):
         fresh = delta_since(fresh, since)
         loaded = fresh.count()
     order = arrival or default_order(fresh, entity.key)
@@ -127,7 +136,7 @@ def _log_run(
         [(run_id, m[1], m[3] + m[4]) for m in manifest],
         "run_id bigint, entity string, items_retrieved bigint",
     )
-    append_metrics(counts, f"{store}/meta/source_counts")
+    upsert(spark, f"{store}/meta/source_counts", META_KEYS["source_counts"], counts)
     metrics = spark.createDataFrame(
         [(run_id, m[1], m[3] + m[4], ms, m[5]) for m, ms in zip(manifest, took_ms)],
         "run_id bigint, entity string, item_count bigint, duration_ms bigint, error_message string",

@@ -141,21 +141,17 @@ _ANALYTICS = """
     LEFT JOIN o ON o.contact_id = c.id LEFT JOIN k ON k.contact_id = c.id
     LEFT JOIN t ON t.contact_id = c.id LEFT JOIN g ON g.contact_id = c.id"""
 
-_ORDERED_DIGEST = """
-    l0 AS (SELECT table_name, id >> 16 AS block,
-             md5(string_agg(id || CASE WHEN n > 1 THEN 'x' || n ELSE '' END, ',' ORDER BY id)) AS digest
-           FROM (SELECT table_name, id, count(*) AS n FROM ids GROUP BY 1, 2) GROUP BY 1, 2),
-    l1 AS (SELECT table_name, CASE WHEN count(*) = 1 THEN min(digest)
-             ELSE md5(string_agg(digest, ',' ORDER BY block)) END AS checksum_md5
-           FROM l0 GROUP BY table_name)
+_KEY_CHECKSUM = """
+    md5(concat_ws(':', count(*),
+      CAST(sum(CAST(CAST('0x' || substr(md5({key}), 1, 16) AS UBIGINT) AS HUGEINT)) AS VARCHAR),
+      CAST(sum(CAST(CAST('0x' || substr(md5({key}), 17, 16) AS UBIGINT) AS HUGEINT)) AS VARCHAR)))"""
+_ORDERED_DIGEST = f"""
     SELECT table_name, count(*) AS row_count, min(id) AS id_min, max(id) AS id_max,
-           min(checksum_md5) AS checksum_md5
-    FROM ids JOIN l1 USING (table_name) GROUP BY table_name"""
-_ROLLING_DIGEST = """
+      {_KEY_CHECKSUM.format(key="CAST(id AS VARCHAR)")} AS checksum_md5
+    FROM ids GROUP BY table_name"""
+_ROLLING_DIGEST = f"""
     SELECT 'contact_tags' AS table_name, count(*) AS row_count, CAST(NULL AS BIGINT) AS id_min,
-      CAST(NULL AS BIGINT) AS id_max,
-      md5(CAST(sum(CAST('0x' || substr(md5(contact_id || ':' || tag_id), 1, 15) AS BIGINT)) AS VARCHAR))
-        AS checksum_md5
+      CAST(NULL AS BIGINT) AS id_max, {_KEY_CHECKSUM.format(key="contact_id || ':' || tag_id")} AS checksum_md5
     FROM v_contact_tags"""
 
 _PERFORMANCE = """
@@ -481,9 +477,11 @@ _ORACLE: dict[str, str] = {
         SELECT id, CAST(total AS DOUBLE) AS total, CAST(paid AS DOUBLE) AS paid FROM ({_OVERPAID})
         ORDER BY paid - total DESC, id LIMIT 100""",
     "duplicate_emails": f"""
-        SELECT email, count(*) AS dupes, CAST(0 AS BIGINT) AS part,
-          '[' || string_agg(id, ',' ORDER BY id) || ']' AS contact_ids
-        FROM ({_EMAILS}) GROUP BY email HAVING count(*) > 1 ORDER BY dupes DESC, email LIMIT 100""",
+        WITH e AS ({_EMAILS}),
+        top AS (SELECT email, count(*) AS dupes FROM e GROUP BY email HAVING count(*) > 1
+                ORDER BY dupes DESC, email LIMIT 100)
+        SELECT email, dupes, id AS contact_id, count(*) AS times FROM e JOIN top USING (email)
+        GROUP BY ALL""",
     "duplicate_exact_emails": f"SELECT count(*) AS duplicate_groups FROM ({_EXACT})",
     "coverage_totals": """
         SELECT (SELECT count(*) FROM v_contacts) AS contacts,
@@ -535,13 +533,13 @@ _ORACLE: dict[str, str] = {
         FROM (SELECT contact_id, coalesce(mime_type, 'unknown') AS type, count(*) AS n,
                 sum(file_size) AS bytes FROM v_contact_files GROUP BY 1, 2) GROUP BY contact_id""",
     "table_digest": f"""
-        WITH ids AS (SELECT 'orders' AS table_name, id FROM v_orders), {_ORDERED_DIGEST.strip()}
+        WITH ids AS (SELECT 'orders' AS table_name, id FROM v_orders) {_ORDERED_DIGEST.strip()}
         UNION ALL {_ROLLING_DIGEST}""",
     "snapshot_all": "WITH ids AS ("
     + " UNION ALL ".join(
         f"SELECT '{t}' AS table_name, id FROM v_{t}" for t in _TABLES if t != "contact_tags"
     )
-    + f"""), {_ORDERED_DIGEST.strip().replace('SELECT table_name, count(*) AS row_count',
+    + f""") {_ORDERED_DIGEST.strip().replace('SELECT table_name, count(*) AS row_count',
         "SELECT (SELECT max(id) FROM v_run_log) AS run_id, 'crm' AS schema_name, table_name, count(*) AS row_count")}
         UNION ALL {_ROLLING_DIGEST.replace("SELECT 'contact_tags'",
         "SELECT (SELECT max(id) FROM v_run_log), 'crm', 'contact_tags'")}""",

@@ -21,7 +21,7 @@ STATE_STORE: dict[str, str] = {
     ),
     "spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled": "true",
 }
-ARRIVAL = ("written_at", "page", "pos")
+ARRIVAL = ("written_at", "page", "line", "pos")
 
 
 def version_column(entity: Entity) -> str:
@@ -29,10 +29,14 @@ def version_column(entity: Entity) -> str:
 
 
 def page_stream(spark: SparkSession, landing: str, files_per_batch: int = 1000) -> DataFrame:
-    """New page files as they land, one page per line."""
+    """New page files as they land, one page per line, with the number of the line.
+
+    A stream has no row numbers, so a file is read whole and split into its lines: a landed file is
+    one poll's pages, some MB. A file of 2 GB or more fails and is not read in part.
+    """
     text = spark.readStream.format("text").option("maxFilesPerTrigger", files_per_batch)
-    return text.load(landing).select(
-        "value",
+    return text.option("wholetext", True).load(landing).select(
+        F.posexplode(F.split("value", r"\r\n|\n|\r")).alias("line", "value"),
         F.col("_metadata.file_path").alias("page"),
         F.col("_metadata.file_modification_time").alias("written_at"),
         F.current_timestamp().alias("landed_at"),
@@ -118,7 +122,7 @@ class IncrementalLoad:
 
     def rejected(self) -> DataFrame:
         """Landed records that could not be loaded, with the page and the reason."""
-        return rejected_rows(self.spark.read.parquet(self.changes), keep=("page", "pos"))
+        return rejected_rows(self.spark.read.parquet(self.changes), keep=("page", "line", "pos"))
 
     def _newer_than(self, changed: DataFrame, near: DataFrame) -> DataFrame:
         """Changes that are not older than the stored row of their key."""

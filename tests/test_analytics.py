@@ -125,41 +125,38 @@ def test_contact_counts_against_the_literal_join(spark, shop):
     assert float(true_sum[1]) == 11.0 and true_sum[2] is None
 
 
-def test_digest_is_the_md5_of_the_id_list(spark):
-    small = spark.range(100).select("id")
-    pairs = spark.createDataFrame([(1, 2), (1, 3)], "a bigint, b bigint")
-    empty = spark.range(0)
-    keys = {"small": ("id",), "pairs": ("a", "b"), "empty": ("id",)}
-    got = {r.table_name: r for r in digest.table_digests({"small": small, "pairs": pairs, "empty": empty}, keys).collect()}
-    want = hashlib.md5(",".join(map(str, range(100))).encode()).hexdigest()
-    s = got["small"]
-    assert (s.row_count, s.id_min, s.id_max, s.checksum_md5) == (100, 0, 99, want)
-    assert (got["pairs"].row_count, got["pairs"].id_min) == (2, None)
-    assert (got["empty"].row_count, got["empty"].checksum_md5) == (0, None)
-
-
-def test_digest_over_blocks_and_negative_ids(spark):
+def key_digest(texts):
+    """The definition, row by row: md5 of the count and of the sums of both halves of each md5."""
+    each = [hashlib.md5(t.encode()).hexdigest() for t in texts]
+    high, low = (sum(int(x[at : at + 16], 16) for x in each) for at in (0, 16))
+    return hashlib.md5(f"{len(each)}:{high}:{low}".encode()).hexdigest()
+
+
+def test_digests_have_one_definition_at_all_sizes(spark):
+    tables = {
+        "small": spark.range(100).select("id"),
+        "large": spark.range(70_000).select("id"),
+        "pairs": spark.createDataFrame([(1, 2), (1, 3)], "a bigint, b bigint"),
+        "empty": spark.range(0),
+    }
+    keys = {"small": ("id",), "large": ("id",), "pairs": ("a", "b"), "empty": ("id",)}
+    got = {r.table_name: tuple(r)[1:] for r in digest.table_digests(tables, keys).collect()}
+    assert got["small"] == (100, 0, 99, key_digest(map(str, range(100))))
+    assert got["large"] == (70_000, 0, 69_999, key_digest(map(str, range(70_000))))
+    assert got["pairs"] == (2, None, None, key_digest(["1:2", "1:3"]))
+    assert got["empty"] == (0, None, None, None)
+
+
+def test_digest_sees_repeats_and_lost_ids_but_no_order(spark):
     ids = [-70_000, -5, 0, 1, 65_535, 65_536, 65_536, 5_000_000_000]
-    df = spark.createDataFrame([(i,) for i in ids], "id bigint")
-
-    def md5(parts):
-        return hashlib.md5(",".join(parts).encode()).hexdigest()
-
-    level = {}
-    for i in sorted(set(ids)):
-        text = str(i) + (f"x{ids.count(i)}" if ids.count(i) > 1 else "")
-        level.setdefault(i >> 16, []).append(text)
-    level = {b: md5(v) for b, v in level.items()}
-    for _ in range(3):
-        grouped = {}
-        for b in sorted(level):
-            grouped.setdefault(b >> 16, []).append(level[b])
-        level = {b: v[0] if len(v) == 1 else md5(v) for b, v in grouped.items()}
-    want = md5([level[b] for b in sorted(level)]) if len(level) > 1 else next(iter(level.values()))
-    row = digest.table_digests({"t": df}, {"t": ("id",)}).first()
-    assert (row.row_count, row.id_min, row.checksum_md5) == (8, -70_000, want)
-    other = digest.table_digests({"t": df.filter("id != 1")}, {"t": ("id",)}).first()
-    assert other.checksum_md5 != want
+
+    def checksum(values):
+        df = spark.createDataFrame([(i,) for i in values], "id bigint")
+        return digest.table_digests({"t": df}, {"t": ("id",)}).first().checksum_md5
+
+    whole = checksum(ids)
+    assert whole == key_digest(map(str, ids)) == checksum(ids[::-1])
+    assert len({whole, checksum(ids[1:]), checksum([*ids, 1]), checksum([*ids, 1, 1])}) == 4
 
 
 def test_table_diff(spark):

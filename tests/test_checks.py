@@ -109,15 +109,15 @@ def test_summary_passes_on_clean_data(shop):
     assert rows == {"opps": "clean", "TOTAL": "passed"}
 
 
-def test_duplicate_emails_come_in_bounded_parts(spark):
+def test_duplicate_emails_give_a_row_per_contact(spark):
     rows = [(i, '[{"email":"A@x","field":"Work"}]') for i in range(0, 200_000, 8)]
     rows += [(i, '[{"email":"b@x","field":"Work"},{"email":"B@x","field":"EMAIL"}]') for i in (3, 1)]
     rows += [(5, '[{"email":"single@x","field":"Work"}]')]
     df = spark.createDataFrame(rows, "id bigint, email_addresses string")
-    got = contacts.duplicate_emails(df, part_size=10_000).orderBy("email", "part").collect()
+    got = contacts.duplicate_emails(df).orderBy("email", "contact_id").collect()
     big = [r for r in got if r.email == "a@x"]
-    assert [len(r.contact_ids) for r in big] == [10_000, 10_000, 5_000]
-    assert [i for r in big for i in r.contact_ids] == list(range(0, 200_000, 8))
-    small = [r for r in got if r.email == "b@x"]
-    assert [(r.dupes, r.part, r.contact_ids) for r in small] == [(4, 0, [1, 1, 3, 3])]
-    assert {r.email for r in got} == {"a@x", "b@x"}
+    assert [r.contact_id for r in big] == list(range(0, 200_000, 8))
+    assert {(r.dupes, r.times) for r in big} == {(25_000, 1)}
+    small = [(r.dupes, r.contact_id, r.times) for r in got if r.email == "b@x"]
+    assert small == [(4, 1, 2), (4, 3, 2)] and {r.email for r in got} == {"a@x", "b@x"}
+    assert {r.email for r in contacts.duplicate_emails(df, limit=1).collect()} == {"a@x"}

@@ -171,8 +171,8 @@ def test_ordered_load(spark):
         assert [(r.entity, r.rows, r.rejected) for r in done] == [("users", 1, 0), ("contacts", 2, 1)]
         rows = VersionedTable(spark, f"{store}/contacts").current().collect()
         assert [(r.id, r.given_name) for r in rows] == [(1, "B")]
-    counts = spark.read.parquet(f"{store}/meta/source_counts").filter("entity = 'contacts'")
-    assert [r.items_retrieved for r in counts.collect()] == [3, 3]
+    counts = VersionedTable(spark, f"{store}/meta/source_counts", ("run_id", "entity")).current()
+    assert sorted((r.run_id, r.entity, r.items_retrieved) for r in counts.collect()) == [(4, "contacts", 3), (4, "users", 1)]
     events = spark.read.parquet(f"{store}/meta/run_events")
     assert events.filter("kind = 'end' AND success").count() == 2
 
@@ -197,6 +197,14 @@ def test_load_since(spark):
     assert [r.id for r in VersionedTable(spark, f"{store}/users").current().collect()] == [2]
 
 
+def test_load_since_without_updated_at(spark):
+    store = work_dir(spark, "s")
+    links = [{"contact_id": 1, "tag_id": t, "date_created": f"2024-0{t}-01T00:00:00Z"} for t in (1, 3)]
+    load.ordered_load(spark, store, {"contact_tags": raw(spark, *links)}, ["contact_tags"], since="2024-02-01T00:00:00Z")
+    table = VersionedTable(spark, f"{store}/contact_tags", ENTITIES["contact_tags"].key)
+    assert [r.tag_id for r in table.current().collect()] == [3]
+
+
 # --- stream ----------------------------------------------------------------------------
 
 
@@ -238,3 +246,13 @@ def test_stream_applies_updates_and_ignores_replays(spark):
     again = IncrementalLoad(spark, landing, store, ENTITIES["contacts"])
     again.drain()
     assert {r.id: r.given_name for r in again.merge().collect()} == {1: "a2", 2: "b2", 3: "c"}
+
+
+def test_the_last_page_of_a_file_wins(spark):
+    """Without ``updated_at``, a later line beats a greater place in an earlier line."""
+    landing, store = work_dir(spark, "landing"), work_dir(spark, "store")
+    pages = ['{"tags":[{"id":9,"name":"x"},{"id":1,"name":"old"}]}', "", '[{"id":1,"name":"new"}]']
+    spark.createDataFrame([(p,) for p in pages], "value string").coalesce(1).write.text(landing)
+    job = IncrementalLoad(spark, landing, store, ENTITIES["tags"])
+    job.drain()
+    assert {r.id: r.name for r in job.merge().collect()} == {1: "new", 9: "x"}
