@@ -5,6 +5,7 @@ import random
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clientele.llm import (
     decontaminate,
@@ -69,7 +70,6 @@ def test_pii_equals_brute_force(spark):
     docs = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "doc_id bigint, text string")
     spans = pii.with_spans(docs, pii.fit(docs))
     counts = [pii.counted("base", k) for k in range(4)]
-    from pyspark.sql import functions as F
 
     for r in spans.select("row.doc_id", *counts, F.sha2(pii.listed("base"), 256)).collect():
         assert tuple(r)[1:] == brute.pii_row(texts[r.doc_id])
@@ -77,6 +77,22 @@ def test_pii_equals_brute_force(spark):
     assert clean[0] is None and clean[7] == "é😀 [PHONE]" and clean[8] == "[IP] " * 600
 
 
+def test_pii_sample_holds_the_smallest_hashes_once(spark):
+    rows = [(k % 700, f"call {k % 700} or write to user{k % 700}@example.com") for k in range(1400)]
+    docs = spark.createDataFrame([*rows, (0, None), (0, ""), (0, "nothing")], "doc_id bigint, text string")
+    found = docs.where("text LIKE '%@%'").select("text").distinct()
+    for size in (1, 100, 1000):
+        expected = found.orderBy(F.xxhash64("text")).limit(size).collect()
+        assert sorted(pii.sampled(docs, size).collect()) == sorted(expected)
+
+
+def test_class_probabilities_add_up(spark):
+    docs = spark.createDataFrame([(words(3, 500),), (words(4, 500),)], "text string")
+    logs = ngram_quality.log_probabilities(ngram_quality.count_grams(docs))
+    per_context = np.exp(logs.astype(float)).reshape(-1, ngram_quality.CLASSES).sum(axis=1)
+    assert np.allclose(per_context, 1, atol=1e-3)
+
+
 def test_odd_rows_pass_every_operator(spark, odd):
     n = odd.count()
     benchmark = spark.createDataFrame([(1, None), (2, ""), (3, "x")], "item_id bigint, text string")
