@@ -12,9 +12,12 @@ bucket meets the bucket's most connected node, in a group of near copies mostly
 Linked nodes form classes, and what remains apart goes on: buckets that still hold several classes
 are cut into chunks of some ``CHUNK`` nodes, by another hash in every band and round, and every node
 outside the chunk's main class is paired with its ``NEAREST`` nodes of other classes by the share of
-equal signature components, until a round finds no link. So rows stay in proportion to the
-buckets, whatever their size, and no pair inside a class is formed. Compared pairs are verified on
-the exact weighted Jaccard similarity of the whole texts.
+equal signature components, until a round finds no link. These rounds only shorten what comes last:
+every node outside its bucket's main class meets all nodes of other classes in the bucket, blocks of
+some ``CHUNK`` against each other, one group of rows per two blocks. There
+texts go along and are verified in place, so no pair is a row; what is returned is one link per two
+classes. No pair of different classes that share a bucket and reach ``PROMISING`` is left untested.
+Compared pairs are verified on the exact weighted Jaccard similarity of the whole texts.
 
 Defined results: a null text counts as empty; texts without words are one node per spelling and
 meet only equal texts; the class is the smallest doc_id among its rows (null if all are null);
@@ -44,6 +47,8 @@ SIDE_BY_SIDE = 200_000
 #: Nodes compared side by side, partners proposed per node and chunk, and the least share of equal
 #: components (at similarity 0.8 it falls below this once in 10,000 pairs).
 CHUNK, NEAREST, PROMISING = 2048, 3, 0.63
+#: Bytes of text in a block of the last pass.
+BYTES = 32 << 20
 
 
 def shingle_bag(text: bytes) -> tuple[np.ndarray, np.ndarray]:
@@ -233,6 +238,66 @@ def promising(table: pa.Table) -> pa.Table:
     return pa.table({"a": nodes.take(pa.array(rows)), "b": nodes.take(pa.array(others))})
 
 
+def links_between(table: pa.Table) -> pa.Table:
+    """Links (a, b) of a block of asking nodes with a block of nodes: one per two classes that any pair links."""
+    sketch = np.frombuffer(b"".join(table["sketch"].to_pylist()), np.uint8).reshape(-1, SIZE)
+    kind = np.unique(np.array(table["class"].to_pylist(), object), return_inverse=True)[1]
+    asks, texts = table["asks"].to_numpy(), table["text"].combine_chunks()
+    ask, met = np.flatnonzero(asks), np.flatnonzero(~asks)
+    columns, bags, found = np.ascontiguousarray(sketch[met].T), {}, {}
+    for x in ask:
+        same = np.zeros(len(met), np.uint8)
+        for k in range(SIZE):
+            same += columns[k] == sketch[x, k]
+        near = met[(same >= PROMISING * SIZE) & (kind[met] != kind[x])]
+        near = [y for y in near if (kind[x], kind[y]) not in found]
+        if not near:
+            continue
+        for y in near:
+            if y not in bags:
+                bags[y] = shingle_bag(texts[int(y)].as_buffer())
+        values, counts = shingle_bag(texts[int(x)].as_buffer())
+        others, weights = (np.concatenate([bags[y][k] for y in near]) for k in (0, 1))
+        at = np.minimum(np.searchsorted(values, others), len(values) - 1)
+        both = np.where(values[at] == others, np.minimum(counts[at], weights), 0)
+        begin = np.concatenate([[0], np.cumsum([len(bags[y][0]) for y in near])[:-1]])
+        both, every = np.add.reduceat(both, begin), np.add.reduceat(weights, begin) + counts.sum()
+        for i in np.flatnonzero(both / (every - both) >= SIMILARITY - 1e-12):
+            found.setdefault((kind[x], kind[near[i]]), (x, near[i]))
+    pairs = np.array(list(found.values()), np.int64).reshape(-1, 2)
+    nodes = table["node"].combine_chunks()
+    return pa.table({"a": nodes.take(pa.array(pairs[:, 0])), "b": nodes.take(pa.array(pairs[:, 1]))})
+
+
+def remaining_links(placed: DataFrame) -> DataFrame:
+    """(a, b): a verified link for any two classes that a pair in a common bucket links.
+
+    placed: (band, node, class, sketch, text). One of two classes is not the bucket's main one, so it is
+    enough that the nodes outside it meet all others. A node that asks is sent to every block of
+    nodes, a node to every block of those that ask; texts go along, so that no pair becomes a row.
+    """
+    size = F.octet_length("text")
+    sizes = placed.groupBy("band", "class").agg(F.count("*").alias("size"), F.sum(size).alias("bytes"))
+    most = F.max(F.struct("size", "class", "bytes"))
+    bands = sizes.groupBy(F.col("band").alias("of")).agg(
+        most["class"].alias("main"),
+        F.ceil(F.greatest(F.sum("size") / CHUNK, F.sum("bytes") / BYTES)).alias("blocks"),
+        F.ceil(
+            F.greatest((F.sum("size") - most["size"]) / CHUNK, (F.sum("bytes") - most["bytes"]) / BYTES)
+        ).alias("ask_blocks"),
+    )
+    rows = placed.join(bands, F.col("band") == F.col("of"))
+    every = lambda n: F.explode(F.sequence(F.lit(0).cast("bigint"), F.col(n) - 1))
+    kept = ["band", "node", "class", "sketch", "text"]
+    met = rows.select(
+        *kept, F.lit(False).alias("asks"), F.pmod(F.xxhash64("node", "band"), "blocks").alias("y"), every("ask_blocks").alias("x")
+    )
+    ask = rows.where("class != main").select(
+        *kept, F.lit(True).alias("asks"), every("blocks").alias("y"), F.pmod(F.xxhash64("band", "node"), "ask_blocks").alias("x")
+    )
+    return met.unionByName(ask).groupBy("band", "x", "y").applyInArrow(links_between, "a binary, b binary")
+
+
 def classes_of_nodes(texts: DataFrame) -> DataFrame:
     """(node, class) of the nodes that share a bucket with another text."""
     bands = banded(texts).distinct()
@@ -262,15 +327,19 @@ def classes_of_nodes(texts: DataFrame) -> DataFrame:
         judged = pairs.join(left, "a").join(right, "b").select("a", "b", overlap("left", "right").alias("likeness"))
         judged = saved(judged.distinct(), "judged")
         new = judged.where(F.col("likeness") >= SIMILARITY - 1e-12).select("a", "b")
-        if new.isEmpty():
-            return labels
-        tested = judged.select("a", "b") if tested is None else tested.union(judged.select("a", "b"))
-        labels = merged(labels, new)
-        turn += 1
+        last = new.isEmpty()
+        if not last:
+            tested = judged.select("a", "b") if tested is None else tested.union(judged.select("a", "b"))
+            labels = merged(labels, new)
+            turn += 1
         placed = members.join(labels, "node")
         several = placed.groupBy("band").agg(F.min("class").alias("lo"), F.max("class").alias("hi")).where("lo != hi")
+        placed = placed.join(several.select("band"), "band")
+        if last:
+            new = saved(remaining_links(placed.join(bodies, "node").select("band", "node", "class", "sketch", "text")), "links")
+            return labels if new.isEmpty() else merged(labels, new)
         chunk = F.pmod(F.xxhash64("node", "band", F.lit(turn)), F.ceil(F.col("n") / CHUNK))
-        placed = placed.join(several.select("band"), "band").join(bodies.select("node", "sketch"), "node")
+        placed = placed.join(bodies.select("node", "sketch"), "node")
         chunks = placed.select("band", chunk.alias("chunk"), "node", "class", "sketch").groupBy("band", "chunk")
         pairs = chunks.applyInArrow(promising, "a binary, b binary")
 
