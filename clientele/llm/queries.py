@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.llm import decontaminate, html_text, mixing, near_dups, ngram_quality, phrases, pii, substrings, toxicity, url_filter
+from clientele.llm import (
+    collocations,
+    conversation_trie,
+    decontaminate,
+    html_text,
+    mixing,
+    near_dups,
+    ngram_quality,
+    phrases,
+    pii,
+    secret_scan,
+    substrings,
+    toxicity,
+    url_filter,
+)
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -150,3 +164,102 @@ def op8_html_text(spark, sf_dir):
 @query("op9_substrings")
 def op9_substrings(spark, sf_dir):
     return substrings.remove_repeats(table(spark, sf_dir, "documents"))
+
+
+@query(
+    "op11_conversation_trie",
+    r"""
+    WITH ids AS (
+      SELECT conv_id, conv_id - conv_id % 5 AS base,
+             CASE WHEN conv_id % 5 = 0 THEN 0 ELSE xor(list_reduce(
+               [4294967295::BIGINT] || list_transform(string_split(conv_id::VARCHAR, ''), lambda ch: ord(ch)::BIGINT),
+               lambda crc, byte: list_reduce([xor(crc, byte)] || range(8),
+                 lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END)), 4294967295) % 9 END AS h
+      FROM conversations WHERE conv_id IS NOT NULL GROUP BY conv_id),
+    turns AS (
+      SELECT conv_id, sha256(strlen(coalesce(role, '')) || ':' || coalesce(role, '') || ':' || coalesce(text, '')) AS key,
+             strlen(coalesce(text, '')) AS bytes,
+             row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, key) AS p
+      FROM conversations WHERE conv_id IS NOT NULL),
+    made AS (
+      SELECT ids.conv_id, p, key, bytes FROM ids JOIN turns ON turns.conv_id = ids.base AND p <= h
+      UNION ALL
+      SELECT conv_id, p + 10, key, bytes FROM ids JOIN turns USING (conv_id) WHERE p > h),
+    paths AS (
+      SELECT conv_id, bytes,
+             CAST(row_number() OVER (PARTITION BY conv_id ORDER BY p) AS BIGINT) AS depth,
+             string_agg(key, '') OVER (PARTITION BY conv_id ORDER BY p) AS name
+      FROM made
+      UNION ALL SELECT conv_id, 0, 0, '' FROM ids),
+    lengths AS (SELECT conv_id, max(depth) AS length FROM paths GROUP BY conv_id),
+    nodes AS (
+      SELECT name, any_value(depth) AS depth, any_value(bytes) AS bytes, min(conv_id) AS conv_id, count(*) AS n_convs,
+             sha256(coalesce(string_agg(conv_id::VARCHAR, ',' ORDER BY conv_id) FILTER (depth = length), '')) AS ends_sha256
+      FROM paths JOIN lengths USING (conv_id) GROUP BY name),
+    parents AS (
+      SELECT a.name, a.conv_id AS parent_conv_id, b.name AS child FROM nodes a JOIN nodes b
+      ON b.depth = a.depth + 1 AND starts_with(b.name, a.name)),
+    kids AS (SELECT nodes.name, count(child) AS n_children FROM nodes LEFT JOIN parents USING (name) GROUP BY nodes.name),
+    below AS (
+      SELECT a.name, CAST(sum((b.n_convs - 1) * b.bytes) AS BIGINT) AS saved_tokens,
+             CAST(count(*) FILTER (kids.n_children = 0) AS BIGINT) AS n_leaves
+      FROM nodes a JOIN nodes b ON starts_with(b.name, a.name) JOIN kids ON kids.name = b.name GROUP BY a.name)
+    SELECT conv_id, depth, parent_conv_id, n_convs, n_children, n_leaves, saved_tokens, ends_sha256
+    FROM nodes JOIN kids USING (name) JOIN below USING (name) LEFT JOIN parents ON parents.child = nodes.name
+    """,
+)
+def op11_conversation_trie(spark, sf_dir):
+    return conversation_trie.prefix_trie(table(spark, sf_dir, "conversations"))
+
+
+@query(
+    "op12_collocations",
+    r"""
+    WITH pieces AS (
+      SELECT coalesce(lang, 'und') AS lang, unnest(string_split_regex(translate(coalesce(text, ''),
+               'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?
+-
+]')) AS piece
+      FROM documents),
+    worded AS (SELECT lang, list_filter(string_split_regex(piece, '[\x20\x09]+'), lambda w: w <> '') AS w FROM pieces),
+    spots AS (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM worded),
+    grams AS (SELECT lang, w[i] AS x, w[i + 1] AS y, w[i + 2] AS z FROM spots),
+    one AS (SELECT lang, x, count(*) AS f FROM grams GROUP BY ALL),
+    two AS (SELECT lang, x, y, count(*) AS f FROM grams WHERE y IS NOT NULL GROUP BY ALL),
+    three AS (SELECT lang, x, y, z, count(*) AS f FROM grams WHERE z IS NOT NULL GROUP BY ALL HAVING f >= 10),
+    used AS (SELECT lang, CAST(sum(f) AS BIGINT) AS n FROM one GROUP BY lang),
+    inside AS (
+      SELECT lang, x, y, max(f) AS longest
+      FROM (SELECT lang, x, y, f FROM three UNION ALL SELECT lang, y, z, f FROM three) GROUP BY ALL),
+    cuts AS (
+      SELECT t.lang, t.x || ' ' || t.y AS phrase, t.f AS a, l.f AS l, r.f AS r, 1 AS k
+      FROM two t JOIN one l ON l.lang = t.lang AND l.x = t.x JOIN one r ON r.lang = t.lang AND r.x = t.y
+      LEFT JOIN inside i ON i.lang = t.lang AND i.x = t.x AND i.y = t.y
+      WHERE t.f >= 10 AND NOT coalesce(100 * longest >= 50 * t.f, FALSE)
+      UNION ALL
+      SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, l.f, r.f, 1
+      FROM three t JOIN one l ON l.lang = t.lang AND l.x = t.x JOIN two r ON r.lang = t.lang AND r.x = t.y AND r.y = t.z
+      UNION ALL
+      SELECT t.lang, t.x || ' ' || t.y || ' ' || t.z, t.f, l.f, r.f, 2
+      FROM three t JOIN two l ON l.lang = t.lang AND l.x = t.x AND l.y = t.y JOIN one r ON r.lang = t.lang AND r.x = t.z),
+    scored AS (
+      SELECT *, CAST((1000000::HUGEINT * a * a) // (l::HUGEINT * r) AS BIGINT) AS score FROM cuts),
+    best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, k) = 1),
+    ranked AS (
+      SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, encode(phrase)) AS rank FROM best)
+    SELECT lang, rank, phrase, a, l, r, n, score FROM ranked JOIN used USING (lang) WHERE rank <= 2000
+    """,
+)
+def op12_collocations(spark, sf_dir):
+    return collocations.collocations(table(spark, sf_dir, "documents"))
+
+
+@query("op13_secrets")
+def op13_secrets(spark, sf_dir):
+    found = secret_scan.with_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("spans")
+    counts = [F.size(secret_scan.of_kind(spans, k)).cast("bigint").alias(f"n_{k}") for k in secret_scan.KINDS]
+    base = secret_scan.of_kind(spans, *secret_scan.KINDS[:3])
+    return found.select(
+        "row.doc_id", *counts, F.sha2(secret_scan.listed(base), 256).alias("base_sha256"), secret_scan.listed(spans).alias("spans")
+    )

@@ -1,6 +1,7 @@
 """Plain single-machine versions that the operators are held against."""
 
 import hashlib
+import math
 import re
 
 PATTERNS = {
@@ -60,3 +61,90 @@ def repeats(rows, length=50):
         kept = bytes(c for c, g in zip(b, gone) if not g)
         out.append((len(b), sum(gone), spans, hashlib.sha256(kept).hexdigest()))
     return out
+
+
+def collocations(rows, least=10, cover=50, top=2000):
+    """Rows of the best phrases for rows of (lang, text)."""
+    lower = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    counts, used = {}, {}
+    for lang, text in rows:
+        lang = "und" if lang is None else lang
+        for piece in re.split(r"[.,;:!?\x0A-\x0D]", (text or "").translate(lower)):
+            words = re.findall(r"[^\x20\x09]+", piece)
+            used[lang] = used.get(lang, 0) + len(words)
+            for n in (1, 2, 3):
+                for i in range(len(words) - n + 1):
+                    key = (lang, *words[i : i + n])
+                    counts[key] = counts.get(key, 0) + 1
+    found = {}
+    for (lang, *words), a in counts.items():
+        if len(words) == 1 or a < least:
+            continue
+        longer = [k for k in counts if k[0] == lang and len(words) == 2 and len(k) == 4 and (list(k[1:3]) == words or list(k[2:]) == words)]
+        if any(counts[k] >= least and 100 * counts[k] >= cover * a for k in longer):
+            continue
+        cuts = []
+        for k in range(1, len(words)):
+            left, right = counts[(lang, *words[:k])], counts[(lang, *words[k:])]
+            cuts.append((1_000_000 * a * a // (left * right), k, left, right))
+        score, _, left, right = min(cuts)
+        found.setdefault(lang, []).append((-score, -a, " ".join(words).encode(), left, right))
+    out = []
+    for lang, phrases in found.items():
+        for rank, (score, a, phrase, left, right) in enumerate(sorted(phrases)[:top], 1):
+            out.append((lang, rank, phrase.decode(), -a, left, right, used[lang], -score))
+    return sorted(out)
+
+
+def trie(rows):
+    """Rows of the nodes for rows of (conv_id, turn, role, text)."""
+    import zlib
+
+    own = {}
+    for c, turn, role, text in rows:
+        if c is not None:
+            role, text = role or "", text or ""
+            key = f"{len(role.encode())}:{role}:{text}"
+            order = (turn is not None, turn or 0, hashlib.sha256(key.encode()).hexdigest())
+            own.setdefault(c, []).append((order, role, text))
+    own = {c: [t[1:] for t in sorted(turns)] for c, turns in own.items()}
+    made = {}
+    for c in own:
+        h = zlib.crc32(str(c).encode()) % 9
+        base = c - int(math.fmod(c, 5))  # the remainder has the sign of c, as in SQL
+        made[c] = tuple(own.get(base, [])[:h] + own[c][h:])
+    members = {}
+    for c, turns in made.items():
+        for d in range(len(turns) + 1):
+            members.setdefault(turns[:d], []).append(c)
+    out = []
+    for node, held in members.items():
+        below = [n for n in members if n[: len(node)] == node]
+        childless = [n for n in below if not any(len(m) == len(n) + 1 and m[: len(n)] == n for m in members)]
+        ends = ",".join(str(c) for c in sorted(c for c in held if made[c] == node))
+        out.append(
+            (
+                min(held), len(node), min(members[node[:-1]]) if node else None, len(held),
+                sum(len(n) == len(node) + 1 for n in below), len(childless),
+                sum((len(members[n]) - 1) * len(n[-1][1].encode()) for n in below if n), hashlib.sha256(ends.encode()).hexdigest(),
+            )
+        )
+    return sorted(out, key=repr)
+
+
+SECRETS = {
+    "assign": r"([Pp][Aa][Ss][Ss][Ww][Oo][Rr][Dd]|[Pp][Aa][Ss][Ss][Ww][Dd]|[Ss][Ee][Cc][Rr][Ee][Tt]|[Tt][Oo][Kk][Ee][Nn]|[Aa][Pp][Ii]_?[Kk][Ee][Yy])[\"']?\x20*[:=]\x20*[\"']?([A-Za-z0-9+/_.=-]+)",
+    "access": r"AKIA[A-Z0-9]+",
+    "hex": r"[0-9a-f]+",
+}
+
+
+def secret_row(text):
+    spans = []
+    for order, (kind, pattern) in enumerate(SECRETS.items()):
+        for m in re.finditer(pattern, text or ""):
+            if len(m[2] if kind == "assign" else m[0]) >= {"assign": 12, "access": 18, "hex": 16}[kind]:
+                spans.append((m.start(), order, kind, m.end()))
+    joined = ",".join(f"{kind}:{a}:{b}" for a, _, kind, b in sorted(spans))
+    counts = tuple(sum(s[2] == kind for s in spans) for kind in SECRETS)
+    return (*counts, hashlib.sha256(joined.encode()).hexdigest())
