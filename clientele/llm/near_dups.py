@@ -37,13 +37,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientele.llm.hashing import P, mix, shingle_hashes, word_hashes
-from clientele.session import work_dir
+from clientele.session import session_settings, work_dir
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 20, 4
 SIZE = BANDS * ROWS
-#: So many shingles are hashed at a time.
-SIDE_BY_SIDE = 200_000
+#: So many shingles are hashed at a time, and so many bytes of text sent to a Python worker at once.
+SIDE_BY_SIDE, BATCH_BYTES = 50_000, 8 << 20
 #: Nodes compared side by side, partners proposed per node and chunk, and the least share of equal
 #: components (at similarity 0.8 it falls below this once in 10,000 pairs).
 CHUNK, NEAREST, PROMISING = 2048, 3, 0.63
@@ -128,23 +128,28 @@ def keyed(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id"), text.alias("text"), F.unhex(F.md5(text)).alias("node"))
 
 
+def signatures(texts: pa.Array) -> Iterator[tuple[list[int], np.ndarray]]:
+    """The places of the texts that have words and their signatures, some ``SIDE_BY_SIDE`` shingles at a time."""
+    bags, which, held = [], [], 0
+    for i, text in enumerate(texts):
+        bag = shingle_bag(text.as_buffer())
+        if len(bag[0]):
+            bags.append(bag)
+            which.append(i)
+            held += len(bag[0])
+        if bags and (held > SIDE_BY_SIDE or i + 1 == len(texts)):
+            yield which, bag_minhash(bags)
+            bags, which, held = [], [], 0
+
+
 def banded(texts: DataFrame) -> DataFrame:
     """(band, node), BANDS rows per text that has words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            bags, which, held = [], [], 0
-            for i, text in enumerate(batch.column("text")):
-                bag = shingle_bag(text.as_buffer())
-                if len(bag[0]):
-                    bags.append(bag)
-                    which.append(i)
-                    held += len(bag[0])
-                if bags and (held > SIDE_BY_SIDE or i + 1 == batch.num_rows):
-                    bands = pa.array(band_hashes(bag_minhash(bags)))
-                    nodes = batch.column("node").take(pa.array(np.repeat(which, BANDS)))
-                    yield pa.RecordBatch.from_arrays([bands, nodes], ["band", "node"])
-                    bags, which, held = [], [], 0
+            for which, found in signatures(batch.column("text")):
+                nodes = batch.column("node").take(pa.array(np.repeat(which, BANDS)))
+                yield pa.RecordBatch.from_arrays([pa.array(band_hashes(found)), nodes], ["band", "node"])
 
     as_bytes = texts.select(F.col("text").cast("binary").alias("text"), "node")
     return as_bytes.mapInArrow(run, "band bigint, node binary")
@@ -206,13 +211,10 @@ def with_sketch(bodies: DataFrame) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            sketches = []
-            for at in range(0, batch.num_rows, 256):
-                bags = [shingle_bag(t.as_buffer()) for t in batch.column("text").slice(at, 256)]
-                sketches += [row.tobytes() for row in bag_minhash(bags).astype(np.uint8)]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node"), batch.column("text"), pa.array(sketches, pa.binary())], ["node", "text", "sketch"]
-            )
+            for which, found in signatures(batch.column("text")):
+                held = [batch.column(c).take(pa.array(which)) for c in ("node", "text")]
+                sketches = pa.array([row.tobytes() for row in found.astype(np.uint8)], pa.binary())
+                yield pa.RecordBatch.from_arrays([*held, sketches], ["node", "text", "sketch"])
 
     return bodies.mapInArrow(run, "node binary, text binary, sketch binary")
 
@@ -299,7 +301,12 @@ def remaining_links(placed: DataFrame) -> DataFrame:
 
 
 def classes_of_nodes(texts: DataFrame) -> DataFrame:
-    """(node, class) of the nodes that share a bucket with another text."""
+    """(node, class) of the nodes that share a bucket with another text; every step is written before it returns."""
+    with session_settings(texts.sparkSession, {"spark.sql.execution.arrow.maxBytesPerBatch": str(BATCH_BYTES)}):
+        return _classes_of_nodes(texts)
+
+
+def _classes_of_nodes(texts: DataFrame) -> DataFrame:
     bands = banded(texts).distinct()
     full = bands.groupBy("band").agg(F.count("*").alias("n")).where("n > 1")
     members = saved(bands.join(full, "band"), "buckets")
@@ -307,7 +314,8 @@ def classes_of_nodes(texts: DataFrame) -> DataFrame:
     # One text per node; further rows of the same text would only repeat a pair.
     first = texts.groupBy("node").agg(F.min("doc_id").alias("first")).join(nodes.select("node"), "node")
     on = (F.col("node") == F.col("of")) & F.col("doc_id").eqNullSafe(F.col("first"))
-    bodies = texts.join(first.withColumnRenamed("node", "of"), on)
+    # Rows equal in id and text are one body.
+    bodies = texts.join(first.withColumnRenamed("node", "of"), on).dropDuplicates(["node", "doc_id"])
     bodies = saved(with_sketch(bodies.select("node", F.col("text").cast("binary").alias("text"))), "bodies")
     labels = nodes.select("node", F.col("node").alias("class"))
 

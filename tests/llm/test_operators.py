@@ -4,6 +4,7 @@ import hashlib
 import random
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -132,6 +133,16 @@ def test_near_copies_meet(spark):
     assert got == {10: 10, 11: 10, 12: 10, 13: 13}
 
 
+def test_repeated_rows_cost_no_more_than_two(spark):
+    # 500 rows of one document and 500 of a near one, each under a single doc_id.
+    base = words(15, 300).split()
+    rows = [(1, " ".join(base))] * 500 + [(2, " ".join(base[:-6] + ["q"] * 6))] * 500
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string").repartition(4)
+    got = near_dups.near_duplicates(docs).groupBy("doc_id", "class_id", "class_rows").count().collect()
+    assert sorted(tuple(r) for r in got) == [(1, 1, 1000, 500), (2, 1, 1000, 500)]
+    assert [r.doc_id for r in near_dups.keep_one(docs).collect()] == [1]
+
+
 def test_family_without_its_origin_equals_brute_force(spark):
     # Copies of a text that is not there, three words off each: partners are seldom the nearest by sketch.
     dice, rows = random.Random(3), []
@@ -150,6 +161,16 @@ def test_family_without_its_origin_equals_brute_force(spark):
     assert {r.doc_id: r.class_id for r in found.collect()} == dict(enumerate(tops))
 
 
+def test_signatures_do_not_depend_on_the_batch():
+    texts = [words(k, 40 + 7 * k).encode() for k in range(30)] + [b"", words(50, 60_000).encode()]
+    found = {}
+    for which, rows in near_dups.signatures(pa.array(texts, pa.binary())):
+        found |= dict(zip(which, rows.tolist()))
+    assert sorted(found) == [k for k in range(32) if k != 30]
+    for k in (0, 17, 31):
+        assert found[k] == near_dups.bag_minhash([near_dups.shingle_bag(texts[k])])[0].tolist()
+
+
 def test_bag_minhash_is_unbiased():
     dice = np.random.default_rng(3)
     values = dice.integers(1, 2**62, 60).astype(np.uint64)
@@ -211,3 +232,24 @@ def test_main_text_of_an_unseen_layout(spark):
     )
     assert html_text.main_text(page, trees) == "T & more\n\nFirst one of text, with words.\n\nSecond."
     assert html_text.main_text(None, trees) == html_text.main_text("", trees) == ""
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, odd, tmp_path):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    rows = [(100 + k, words(60 + k, 120), "en", "a") for k in range(12)]
+    rows += [(200, words(60, 120), "en", "a"), (201, words(61, 118) + " q", "en", "b"), (202, words(65, 120) + " mail ann@x.example.com", "en", "b")]
+    item = words(70, 30)
+    rows += [(203, words(71, 60) + " " + item + " " + words(72, 60), "en", "b")]
+    more = spark.createDataFrame([(*r, 9, 1, "n", "r") for r in rows], CLASH)
+    labels = [(100 + k, 1, 0) for k in range(12)] + [(k, 1, 0) for k in range(200, 204)]
+    for name, docs in (("some", odd.unionByName(more)), ("none", odd.limit(0))):
+        docs.write.parquet(f"{tmp_path}/{name}/documents.parquet")
+        spark.createDataFrame(labels, "doc_id bigint, quality int, toxic int").write.parquet(f"{tmp_path}/{name}/labels.parquet")
+        spark.createDataFrame([(1, item), (2, None)], "item_id bigint, text string").write.parquet(f"{tmp_path}/{name}/benchmark.parquet")
+    assert corpus_pipeline.run(spark, f"{tmp_path}/none").collect() == []
+    out = corpus_pipeline.run(spark, f"{tmp_path}/some")
+    assert out.columns == odd.columns
+    kept = {(r.doc_id, r.text) for r in out.collect()}
+    ids = {i for i, _ in kept}
+    assert 203 not in ids and 200 not in ids and len(ids & set(range(100, 112))) >= 6
+    assert all("@" not in (t or "") for _, t in kept)
