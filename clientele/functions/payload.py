@@ -81,6 +81,24 @@ def field_column(field: Field) -> Column:
     return value.alias(field.name)
 
 
+def unread_values(fields: Iterable[Field]) -> Column:
+    """(field, text) of every value that is there and not blank but is lost by its type; in field order.
+
+    ``field_column`` gives NULL for such a value. A money amount that would be rounded counts as read.
+    """
+    lost = []
+    for field in fields:
+        if field.type in (JSON, "string"):
+            continue
+        values = [path_value(p) for p in field.paths]
+        text = F.coalesce(*values) if len(values) > 1 else values[0]
+        gone = field_column(field).isNull() & (F.trim(text) != "")
+        lost.append(F.when(gone, F.struct(F.lit(field.name).alias("field"), text.alias("text"))))
+    if not lost:
+        return F.array().cast("array<struct<field:string,text:string>>")
+    return F.array_compact(F.array(*lost))
+
+
 def blank(column: str) -> Column:
     """True for NULL and for the empty string."""
     return F.coalesce(F.col(column), F.lit("")) == ""

@@ -5,13 +5,12 @@ from __future__ import annotations
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from clientele.functions.payload import blank
 from clientele.operators.flatten import contact_emails
 from clientele.plans.specs import ENTITIES, Entity, ForeignKey
-from clientele.session import work_dir
 
 Tables = Mapping[str, DataFrame]
 
@@ -108,51 +107,50 @@ def orphan_rows(tables: Tables, check: OrphanCheck, lost: DataFrame) -> DataFram
     return child.filter(hit).select(*tables[check.entity.name].columns)
 
 
-def orphan_counts(
-    spark: SparkSession, tables: Tables, wanted: Mapping[str, OrphanCheck], label: str, name: str
-) -> DataFrame:
+def lost_flags(tables: Tables, child: str, references: list[ForeignKey]) -> DataFrame:
+    """The distinct foreign-key tuples of a table with ``_n``, their rows, and per key ``_lost_<column>``.
+
+    Rows are grouped by their keys first, so a tuple that a third of the rows share leaves each map
+    task once. The tuples then meet the distinct ids of each parent; Catalyst broadcasts a parent
+    that is small enough, and shuffles and splits hot keys otherwise.
+    """
+    columns = list(dict.fromkeys(r.column for r in references))
+    tuples = tables[child].groupBy(*columns).agg(F.count("*").alias("_n"))
+    for ref in references:
+        parents = _parent_keys(tables, ref.parent)
+        tuples = tuples.join(parents, F.col(ref.column) == F.col("_parent"), "left")
+        gone = F.col("_parent").isNull()
+        if not ref.null_is_orphan:
+            gone = gone & F.col(ref.column).isNotNull()
+        tuples = tuples.withColumn(f"_lost_{ref.column}", gone).drop("_parent")
+    return tuples
+
+
+def orphan_counts(tables: Tables, wanted: Mapping[str, OrphanCheck], label: str, name: str) -> DataFrame:
     """(label, count) per check: how many child rows have lost at least one parent.
 
-    The lost keys are stored first. A table that lost keys of one reference only is settled by
-    their counts. Only where two references of a table have lost keys, so that a row may be
-    counted twice, are its rows read once more.
+    Nothing runs while the plan is built. All checks of a table share one grouping of its rows.
     """
-    folder = work_dir(spark, "lost")
-    lost_keys(tables, list(wanted.values())).write.parquet(folder)
-    lost = spark.read.schema("key bigint, child string, fk string, rows bigint").parquet(folder)
-    # At most one number per reference.
-    totals = {
-        (r.child, r.fk): r.rows for r in lost.groupBy("child", "fk").agg(F.sum("rows").alias("rows")).collect()
-    }
-    settled, parts = [], []
-    for key, check in wanted.items():
-        found = [totals.get((check.entity.name, r.column), 0) for r in check.references]
-        if sum(n > 0 for n in found) < 2:
-            settled.append((key, sum(found)))
-            continue
-        columns = [r.column for r in check.references]
-        narrow = {check.entity.name: tables[check.entity.name].select(*columns)}
-        count = orphan_rows(narrow, check, lost).agg(F.count("*").alias(name))
-        parts.append(labelled(count, key, label))
-    if settled:
-        parts.append(spark.createDataFrame(settled, f"{label} string, {name} bigint"))
+    parts = []
+    for child in dict.fromkeys(c.entity.name for c in wanted.values()):
+        mine = {key: c for key, c in wanted.items() if c.entity.name == child}
+        references = {r.column: r for c in mine.values() for r in c.references}
+        flags = lost_flags(tables, child, list(references.values()))
+        counts = []
+        for check in mine.values():
+            hit = F.lit(False)
+            for ref in check.references:
+                hit = hit | F.col(f"_lost_{ref.column}")
+            counts.append(F.coalesce(F.sum(F.when(hit, F.col("_n"))), F.lit(0)).cast("bigint"))
+        numbers = flags.agg(*[c.alias(f"_{i}") for i, c in enumerate(counts)])
+        rows = [F.struct(F.lit(key).alias(label), F.col(f"_{i}").alias(name)) for i, key in enumerate(mine)]
+        parts.append(numbers.select(F.inline(F.array(*rows))))
     return union_all(parts)
 
 
 def orphan_count(tables: Tables, check: OrphanCheck, name: str = "orphans") -> DataFrame:
-    """The count for one check, as one row; several references go by ``orphan_counts``."""
-    refs = check.references
-    child = tables[check.entity.name]
-    if len(refs) > 1:
-        counts = orphan_counts(child.sparkSession, tables, {"": check}, "_label", name)
-        return counts.drop("_label")
-    ref = refs[0]
-    if not ref.null_is_orphan:
-        child = child.filter(F.col(ref.column).isNotNull())
-    per_key = child.groupBy(ref.column).agg(F.count("*").alias("_n"))
-    parents = _parent_keys(tables, ref.parent)
-    lost = per_key.join(parents, F.col(ref.column) == F.col("_parent"), "left_anti")
-    return lost.agg(F.coalesce(F.sum("_n"), F.lit(0)).cast("bigint").alias(name))
+    """The count for one check, as one row."""
+    return orphan_counts(tables, {"": check}, "_label", name).drop("_label")
 
 
 def labelled(counts: DataFrame, label: str, column: str) -> DataFrame:
@@ -173,9 +171,9 @@ FK_REPORT: tuple[str, ...] = (
 )
 
 
-def fk_report(spark: SparkSession, tables: Tables) -> DataFrame:
+def fk_report(tables: Tables) -> DataFrame:
     wanted = {f"Orphaned {n}": OrphanCheck(ENTITIES[n]) for n in FK_REPORT}
-    return orphan_counts(spark, tables, wanted, "table_name", "orphan_count")
+    return orphan_counts(tables, wanted, "table_name", "orphan_count")
 
 
 def orphan_note_samples(tables: Tables, limit: int = 10) -> DataFrame:

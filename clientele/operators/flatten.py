@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from clientele.functions.payload import field_column, iso_timestamp, parse_payload
+from clientele.functions.payload import field_column, iso_timestamp, parse_payload, unread_values
 from clientele.plans.specs import Entity
 
 _CORRUPT = "_corrupt"
@@ -18,18 +18,23 @@ def flatten(records: DataFrame, entity: Entity, keep: tuple[str, ...] = ()) -> D
     return parsed.select(*keep, *[field_column(f) for f in entity.fields], "raw")
 
 
-def with_reason(records: DataFrame, entity: Entity, keep: tuple[str, ...] = ()) -> DataFrame:
+def with_reason(
+    records: DataFrame, entity: Entity, keep: tuple[str, ...] = (), unread: bool = False
+) -> DataFrame:
     """Typed rows with the ``reason`` a record is rejected for, NULL for a good one.
 
-    A record is rejected if it is not a JSON object or lacks a key column; the rest load on.
+    A record is rejected if it is not a JSON object or lacks a key column; the rest load on. With
+    ``unread`` a list of (field, text) stands beside every row: the values that became NULL because
+    they do not fit their type.
     """
     parsed = parse_payload(records, entity.fields, _CORRUPT)
     # A value of an unexpected kind marks the record too; only unreadable JSON rejects it.
     no_object = F.try_parse_json("raw").isNull() | ~F.col("raw").rlike(r"^\s*\{")
     marked = F.col("_doc").getField(_CORRUPT).isNotNull()
     broken = F.col("_doc").isNull() | (marked & no_object)
+    lost = [unread_values(entity.fields).alias("unread")] if unread else []
     typed = parsed.select(
-        *keep, *[field_column(f) for f in entity.fields], "raw", broken.alias("_broken")
+        *keep, *[field_column(f) for f in entity.fields], "raw", *lost, broken.alias("_broken")
     )
     keyless = F.lit(False)
     for column in entity.key:
@@ -39,7 +44,13 @@ def with_reason(records: DataFrame, entity: Entity, keep: tuple[str, ...] = ())
 
 
 def good_rows(marked: DataFrame) -> DataFrame:
-    return marked.filter("reason IS NULL").drop("reason")
+    return marked.filter("reason IS NULL").drop("reason", "unread")
+
+
+def lost_values(marked: DataFrame, keep: tuple[str, ...]) -> DataFrame:
+    """One row per value of a good row that its type could not hold; ``marked`` has ``unread``."""
+    found = marked.filter("reason IS NULL").select(*keep, F.explode("unread").alias("_lost"))
+    return found.select(*keep, "_lost.field", "_lost.text")
 
 
 def rejected_rows(marked: DataFrame, keep: tuple[str, ...] = ()) -> DataFrame:
@@ -57,22 +68,23 @@ def parse_timestamps(df: DataFrame, column: str, name: str) -> DataFrame:
     return df.withColumn(name, iso_timestamp(F.col(column)))
 
 
-def delta_since(rows: DataFrame, since: str) -> DataFrame:
-    """Rows created or modified at or after ``since``; an unparseable ``since`` keeps all.
+def reached_since(rows: DataFrame, since: str) -> Column:
+    """Whether a row was created or modified at or after ``since``; an unparseable ``since`` keeps all.
 
     Of ``created_at`` and ``updated_at``, those count that the table has.
     """
     moment = iso_timestamp(F.lit(since))
-
-    def reached(column: str):
-        # Cast the constant, not the column, so that the comparison reaches the Parquet scan.
-        return F.col(column) >= moment.cast(rows.schema[column].dataType)
-
     wanted = moment.isNull()
     for column in ("created_at", "updated_at"):
         if column in rows.columns:
-            wanted = wanted | reached(column)
-    return rows.filter(wanted)
+            # Cast the constant, not the column, so that the comparison reaches the Parquet scan.
+            wanted = wanted | (F.col(column) >= moment.cast(rows.schema[column].dataType))
+    return wanted
+
+
+def delta_since(rows: DataFrame, since: str) -> DataFrame:
+    """Rows created or modified at or after ``since``; see ``reached_since``."""
+    return rows.filter(reached_since(rows, since))
 
 
 def tag_links(contacts: DataFrame) -> DataFrame:

@@ -43,30 +43,77 @@ def merge_entity(
     return merge_rows(target, updates, entity.key, order)
 
 
-def merge_progress(events: DataFrame) -> DataFrame:
-    """Progress rows after a sequence of status updates (``seq`` order) per run and entity.
+PROGRESS_KEY = ("run_id", "entity")
+
+# name of the state -> the wanted one of its (seq, value) pairs, largest or smallest ``seq``
+_PROGRESS_STATES = {
+    "last": F.max, "began": F.min, "ended": F.max, "page": F.max, "items": F.max, "error": F.max,
+    "first_at": F.min, "last_at": F.max,
+}
+
+
+def progress_states(events: DataFrame) -> DataFrame:
+    """What progress rows need to know of status updates (``seq`` order), per run and entity.
+
+    Every state is one (seq, value) pair: the first or the last of its kind. States of any two sets of
+    events combine to those of their union, so neither the order nor a repeat of batches matters.
+    """
+
+    def pair(value: str, when=None):
+        found = F.col(value).isNotNull() if when is None else when
+        return F.when(found, F.struct("seq", F.col(value).alias("value")))
+
+    pairs = {
+        "last": pair("status"),
+        "began": pair("at", F.col("status") == "running"),
+        "ended": pair("at", F.col("status").isin("completed", "failed")),
+        "page": pair("page_offset"),
+        "items": pair("items_processed"),
+        "error": pair("error_message"),
+        "first_at": pair("at"),
+        "last_at": pair("at"),
+    }
+    return events.groupBy(*PROGRESS_KEY).agg(*[_PROGRESS_STATES[n](c).alias(n) for n, c in pairs.items()])
+
+
+def combine_progress(states: DataFrame) -> DataFrame:
+    """One row of states per run and entity; a NULL state gives way to a known one."""
+    return states.groupBy(*PROGRESS_KEY).agg(*[pick(n).alias(n) for n, pick in _PROGRESS_STATES.items()])
+
+
+def progress_rows(states: DataFrame) -> DataFrame:
+    """Progress rows of combined states.
 
     The status is the last one; ``started_at`` is set once, by the first ``running``;
     ``completed_at`` by the last ``completed`` or ``failed``; an update that leaves a number or
     message out keeps the stored one.
     """
-
-    def last_known(column: str):
-        return F.max_by(column, F.when(F.col(column).isNotNull(), F.col("seq")))
-
-    ended = F.col("status").isin("completed", "failed")
-    return events.groupBy("run_id", "entity").agg(
-        F.max_by("status", "seq").alias("status"),
-        F.min_by("at", F.when(F.col("status") == "running", F.col("seq"))).alias("started_at"),
-        F.max_by("at", F.when(ended, F.col("seq"))).alias("completed_at"),
-        F.coalesce(last_known("page_offset"), F.lit(0)).alias("last_page_offset"),
-        F.coalesce(last_known("items_processed"), F.lit(0)).alias("total_items_processed"),
-        last_known("error_message").alias("error_message"),
-        F.min_by("at", "seq").alias("created_at"),
-        F.max_by("at", "seq").alias("updated_at"),
+    return states.select(
+        *PROGRESS_KEY,
+        F.col("last.value").alias("status"),
+        F.col("began.value").alias("started_at"),
+        F.col("ended.value").alias("completed_at"),
+        F.coalesce("page.value", F.lit(0)).alias("last_page_offset"),
+        F.coalesce("items.value", F.lit(0)).alias("total_items_processed"),
+        F.col("error.value").alias("error_message"),
+        F.col("first_at.value").alias("created_at"),
+        F.col("last_at.value").alias("updated_at"),
     )
 
 
+def merge_progress(events: DataFrame) -> DataFrame:
+    """Progress rows after a sequence of status updates per run and entity."""
+    return progress_rows(progress_states(events))
+
+
+CHECKPOINT_KEY = ("run_id", "entity", "checkpoint_type")
+
+
+def newest_checkpoints(saved: DataFrame) -> DataFrame:
+    """The newest checkpoint of each run, entity and type, by ``created_at`` and ``seq``; combines like states."""
+    return latest_per_key(saved, CHECKPOINT_KEY, ("created_at", "seq"))
+
+
 def fold_run_log(events: DataFrame) -> DataFrame:
     """Run rows from start and end events.
 

@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from clientele.functions.ranking import rank_within
-
 UNFINISHED: tuple[str, ...] = ("pending", "running", "failed")
 
 
@@ -94,8 +92,12 @@ def source_vs_loaded(source_counts: DataFrame, loaded: DataFrame) -> DataFrame:
 
 
 def rank_snapshots(snapshots: DataFrame) -> DataFrame:
-    """Every snapshot with its place among its table's snapshots, newest run first."""
-    ranked = rank_within(snapshots, ["table_name"], "run_id", descending=True, name="rn")
+    """Every snapshot with its place among its table's snapshots, newest run first.
+
+    A table has one snapshot per run, so a group is as large as the run log.
+    """
+    newest = Window.partitionBy("table_name").orderBy(F.desc("run_id"))
+    ranked = snapshots.withColumn("rn", F.row_number().over(newest).cast("bigint"))
     return ranked.select("table_name", "row_count", "run_id", "rn")
 
 

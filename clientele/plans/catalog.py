@@ -9,12 +9,13 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientele.operators import checks, compare, contacts, digest, files, flatten, merge, runs
-from clientele.plans import load, validation
+from clientele.plans import load, run_store, validation
 from clientele.plans.specs import ALLOWED_VALUES, ENTITIES, LOAD_ORDER, META_KEYS
 from clientele.session import use_utc, work_dir
 from clientele.sources import exports, pages, tables as scans
 from clientele.sources.bindings import CrmTables
 from clientele.sources.raw_records import defective_records, raw_records
+from clientele.sources.versions import VersionedTable
 from clientele.streaming.incremental import IncrementalLoad
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -350,7 +351,21 @@ for _name, (_child, _columns) in ORPHAN_CHECKS.items():
 
 @query("fk_report")
 def _(t):
-    return checks.fk_report(t.spark, t)
+    return checks.fk_report(t)
+
+
+# Rows taken away, so that every reference of the report has orphans.
+THINNED = {
+    "contacts": "id % 50 != 3", "tags": "id % 9 != 4", "orders": "id % 40 != 5", "products": "id % 30 != 7",
+    "pipelines": "id != 2", "opportunities": "id % 70 != 8", "companies": "id % 5 != 1",
+}
+
+
+@query("fk_report_thinned")
+def _(t):
+    """The report over tables that have lost some of their rows."""
+    names = {*checks.FK_REPORT, *THINNED, "users"}
+    return checks.fk_report({n: t[n].filter(THINNED[n]) if n in THINNED else t[n] for n in names})
 
 
 @query("orphan_note_samples")
@@ -591,9 +606,32 @@ def _(t):
     return merge.merge_rows(stored, again, META_KEYS["source_counts"])
 
 
+def _in_batches(t: CrmTables, label: str, events: DataFrame, key, states, combine) -> DataFrame:
+    """Events folded into a stored table in three batches that are not in order, one of them twice."""
+    table = VersionedTable(t.spark, work_dir(t.spark, label), key, part_width=8)
+    for batch in ("seq % 3 = 2", "seq % 3 = 0", "seq % 3 = 2", "seq % 3 = 1"):
+        run_store.fold_into(table, states(events.filter(batch)), combine)
+    return table.current()
+
+
 @query("merge_progress")
 def _(t):
-    return merge.merge_progress(t["progress_events"])
+    """Status updates folded batch by batch into stored states."""
+    stored = _in_batches(
+        t, "progress", t["progress_events"], merge.PROGRESS_KEY, merge.progress_states, merge.combine_progress
+    )
+    return merge.progress_rows(stored)
+
+
+@query("stored_checkpoints")
+def _(t):
+    """Checkpoints folded batch by batch; the newest of a key stays, in whatever order batches come."""
+    columns = ("run_id", "entity", "checkpoint_type", "checkpoint_data", "created_at", "seq")
+    newest = merge.newest_checkpoints
+    stored = _in_batches(
+        t, "checkpoints", t["checkpoint_events"].select(*columns), merge.CHECKPOINT_KEY, newest, newest
+    )
+    return stored.drop("seq")
 
 
 @query("merge_checkpoints")
@@ -648,16 +686,69 @@ def _(t):
     return checks.union_all(parts)
 
 
-LOADED = ("users", "tags", "companies", "contacts", "opportunities", "tasks", "notes", "products", "orders")
+def _arrived(t: CrmTables, entity: str) -> DataFrame:
+    """Raw records in order of arrival, some of them defective; equal ids repeat with other contents."""
+    records = defective_records(t, entity)
+    return records.select("raw", F.struct("id", F.xxhash64("raw").alias("tie")).alias("seq"))
 
 
 @query("ordered_load")
 def _(t):
-    """A full load of the run-order entities from raw records; names come in any order."""
+    """A full load of all entities from raw records, named in any order; the manifest and what is stored."""
     store = work_dir(t.spark, "store")
-    sources = {n: defective_records(t, n).select("raw") for n in LOADED}
-    manifest = load.ordered_load(t.spark, store, sources, sorted(LOADED), run_id=1)
-    return manifest.select("position", "entity", "status", "rows", "rejected")
+    sources = {e.name: _arrived(t, e.name) for e in LOAD_ORDER}
+    manifest = load.ordered_load(t.spark, store, sources, sorted(sources), run_id=1)
+    held = []
+    for e in LOAD_ORDER:
+        rows = VersionedTable(t.spark, f"{store}/{e.name}", e.key).current().agg(F.count("*").alias("stored"))
+        held.append(rows.select(F.lit(e.name).alias("entity"), "stored"))
+    return manifest.join(checks.union_all(held), "entity").select("position", "entity", "status", "rows", "rejected", "stored")
+
+
+INTERRUPTED = ("users", "tags", "companies", "contacts", "products")
+
+
+def _interrupted_load(t: CrmTables) -> tuple[DataFrame, run_store.RunStore]:
+    """A load that stops as a source is missing, and its second attempt; both manifests and the run's store."""
+    store = work_dir(t.spark, "store")
+    sources = {n: _arrived(t, n) for n in INTERRUPTED}
+    first = load.ordered_load(
+        t.spark, store, {n: s for n, s in sources.items() if n != "companies"}, list(INTERRUPTED), run_id=7
+    )
+    second = load.resume_load(t.spark, store, sources, 7)
+    both = first.withColumn("attempt", F.lit(1)).unionByName(second.withColumn("attempt", F.lit(2)))
+    return both, run_store.RunStore(t.spark, store)
+
+
+@query("resumed_load")
+def _(t):
+    """What either attempt did, beside the stored progress of the entity."""
+    tried, log = _interrupted_load(t)
+    progress = log.progress().select("entity", F.col("status").alias("progress"), "total_items_processed")
+    return tried.join(progress, "entity").select(
+        "attempt", "position", "entity", "status", "rows", "rejected", "progress", "total_items_processed"
+    )
+
+
+@query("load_run_metrics")
+def _(t):
+    """The run analytics on the log of an interrupted and resumed load."""
+    _, log = _interrupted_load(t)
+    by_run = runs.run_metrics(log.run_log(), log.request_log())
+    by_entity = runs.entity_performance(log.request_metrics())
+    every = by_run.select(
+        "run_id", F.lit("all").alias("entity"), F.col("total_requests").alias("requests"), "total_items", "error_count"
+    )
+    return every.unionByName(by_entity.select("run_id", "entity", F.col("total_pages").alias("requests"), "total_items", "error_count"))
+
+
+@query("unread_values")
+def _(t):
+    """Values of good opportunity records that their type could not hold; some amounts are no numbers."""
+    records = raw_records(t, "opportunities")
+    no_number = F.regexp_replace("raw", '"projected_revenue_high":[0-9.]+', '"projected_revenue_high":"12 EUR"')
+    records = records.withColumn("raw", F.when(F.col("id") % 40 == 7, no_number).otherwise(F.col("raw")))
+    return flatten.lost_values(flatten.with_reason(records, ENTITIES["opportunities"], unread=True), ("id",))
 
 
 @query("incremental_stream")

@@ -1,29 +1,23 @@
-"""Loading entities in parent-first order, with a log of the run."""
+"""Loading entities in parent-first order, with a log of the run, and going on after an interruption."""
 
 from __future__ import annotations
 
-import datetime as dt
 import time
 import uuid
 from collections.abc import Mapping
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from clientele.operators.flatten import delta_since, good_rows, with_reason
+from clientele.operators.flatten import good_rows, reached_since, with_reason
 from clientele.operators.merge import default_order, latest_per_key
-from clientele.plans.specs import ENTITIES, LOAD_ORDER, META_KEYS, Entity
-from clientele.sources.versions import VersionedTable
-
-MANIFEST = "position int, entity string, status string, rows bigint, rejected bigint, detail string"
+from clientele.plans.run_store import RunStore, append_metrics, now
+from clientele.plans.specs import ENTITIES, LOAD_ORDER, Entity
+from clientele.sources.versions import VersionedTable, path_exists
 
+__all__ = ["append_metrics", "in_load_order", "load_entity", "ordered_load", "resume_load", "upsert"]
 
-def append_metrics(rows: DataFrame, path: str) -> None:
-    """Append request, throttle, error or health rows to their table, one folder per run.
-
-    ``rebalance`` sends a run's rows to few files, and splits a run that holds a large share.
-    """
-    rows.hint("rebalance", "run_id").write.mode("append").partitionBy("run_id").parquet(path)
+MANIFEST = "position int, entity string, status string, rows bigint, rejected bigint, detail string"
 
 
 def upsert(spark: SparkSession, path: str, key: tuple[str, ...], rows: DataFrame) -> None:
@@ -45,33 +39,53 @@ def in_load_order(names: list[str] | None) -> list[Entity]:
     return [e for e in LOAD_ORDER if e.name in names]
 
 
+def _counts(staged: DataFrame, since: str | None) -> tuple:
+    """Aggregates over staged rows: those to load and those rejected."""
+    good = F.col("reason").isNull()
+    wanted = good & reached_since(staged, since) if since else good
+    return F.count_if(wanted).alias("loaded"), F.count_if(~good).alias("rejected")
+
+
+def _stage(marked: DataFrame, folder: str, since: str | None) -> tuple[int, int]:
+    """Write the typed rows and count them on the way."""
+    seen = Observation()
+    marked.observe(seen, *_counts(marked, since)).write.mode("overwrite").parquet(folder)
+    return seen.get["loaded"], seen.get["rejected"]
+
+
 def load_entity(
-    spark: SparkSession, store: str, entity: Entity, records: DataFrame, since: str | None = None
-) -> tuple[int, int]:
+    spark: SparkSession, store: str, entity: Entity, records: DataFrame, since: str | None = None,
+    run_id: int | None = None, resume: bool = False,
+) -> tuple[int, int]:
     """Flatten, filter, merge and switch to the new version; (loaded, rejected) counts.
 
     ``records`` has ``raw`` and ``seq``, the arrival order that ``ingest_pages`` gives; the last
     record of a key is merged. Without ``seq`` the newest, then the greatest payload counts as last.
     The typed rows are staged as Parquet first: the payloads are parsed once although the merge
-    reads them twice, and the rejected ones stay there with their reason.
+    reads them twice, and the rejected ones stay there with their reason, as do, in ``unread``, the
+    values of good ones that do not fit their type.
+
+    The new version carries ``run_id`` as its commit token. With ``resume`` a table that has the
+    run's token is left as it is, and rows that the run has staged completely are not parsed again.
     """
     arrival = ("seq",) if "seq" in records.columns else ()
-    folder = f"{store}/staged/{entity.name}/{uuid.uuid4().hex}"
-    with_reason(records, entity, keep=arrival).write.parquet(folder)
-    staged = spark.read.parquet(folder)
-    good = F.count_if(F.col("reason").isNull())
-    loaded, tried = staged.agg(good, F.count("*")).first()
-    rejected = tried - loaded
-    fresh = good_rows(staged)
-    if since and {"created_at", "updated_at"} & set(fresh.columns):
-        fresh = delta_since(fresh, since)
-        loaded = fresh.count()
-    order = arrival or default_order(fresh, entity.key)
+    folder = f"{store}/staged/{entity.name}/{uuid.uuid4().hex if run_id is None else f'run-{run_id}'}"
+    marked = with_reason(records, entity, keep=arrival, unread=True)
+    if resume and path_exists(spark, f"{folder}/_SUCCESS"):
+        loaded, rejected = spark.read.schema(marked.schema).parquet(folder).agg(*_counts(marked, since)).first()
+    else:
+        loaded, rejected = _stage(marked, folder, since)
     table = VersionedTable(spark, f"{store}/{entity.name}", entity.key)
+    if resume and run_id is not None and table.last_tag() == run_id:
+        return loaded, rejected
+    fresh = good_rows(spark.read.schema(marked.schema).parquet(folder))
+    if since:
+        fresh = fresh.filter(reached_since(fresh, since))
+    order = arrival or default_order(fresh, entity.key)
     if table.version:
-        table.merge(fresh, order)
+        table.merge(fresh, order, tag=run_id)
     else:
-        table.replace(latest_per_key(fresh, entity.key, order).drop(*arrival))
+        table.replace(latest_per_key(fresh, entity.key, order).drop(*arrival), tag=run_id)
     return loaded, rejected
 
 
@@ -90,61 +104,91 @@ def ordered_load(
     """Load the chosen entities; returns a manifest with one row per entity tried.
 
     A dry run writes nothing and counts what the first page of each entity would process. With
-    ``run_id`` the run, its source counts and its rejected records are logged below ``store``.
+    ``run_id`` the load is logged below ``store`` while it goes on, see ``RunStore``: all entities as
+    pending, each one as running and then completed or failed, a checkpoint per completed one. A
+    load that dies can be taken up by ``resume_load``.
     """
+    chosen = in_load_order(entities)
+    if dry_run:
+        rows = [(i, e.name, "dry run", sources[e.name].limit(page_size).count(), 0, None) for i, e in enumerate(chosen)]
+        return spark.createDataFrame(rows, MANIFEST)
+    log = None if run_id is None else RunStore(spark, store)
+    if log is not None:
+        log.log_run(run_id, "start", None, ", ".join(e.name for e in chosen))
+        seq = log.next_seq(run_id)
+        log.log_progress([_update(run_id, seq + i, e.name, "pending") for i, e in enumerate(chosen)])
+    return _load_all(spark, store, sources, chosen, since, continue_on_error, log, run_id, resume=False)
+
+
+def resume_load(
+    spark: SparkSession,
+    store: str,
+    sources: Mapping[str, DataFrame],
+    run_id: int | None = None,
+    *,
+    since: str | None = None,
+    continue_on_error: bool = False,
+) -> DataFrame:
+    """Go on with a run: its entities that are not completed, parents first, under the same run id.
+
+    Without ``run_id`` the latest run is taken that was started and not ended; nothing to resume
+    gives an empty manifest. The log is settled first, so what a dead process wrote last counts. A
+    table that was committed before its completion was logged is recognised by its commit token.
+    """
+    log = RunStore(spark, store)
+    # Runs that died have not been settled yet; those that ended are settled already.
+    unsettled = [run_id] if run_id is not None else [r.id for r in log.run_log().filter("status = 'running'").select("id").collect()]
+    for run in unsettled:
+        log.settle(run)
+    run_id = log.interrupted_run() if run_id is None else run_id
+    left = [] if run_id is None else log.left_to_do(run_id)
+    if not left:
+        return spark.createDataFrame([], MANIFEST)
+    return _load_all(spark, store, sources, in_load_order(left), since, continue_on_error, log, run_id, resume=True)
+
+
+def _update(run_id: int, seq: int, entity: str, status: str, items=None, rejected=None, ms=None, error=None) -> tuple:
+    return run_id, seq, entity, status, now(), None, items, rejected, ms, error
+
+
+def _load_all(
+    spark: SparkSession, store: str, sources: Mapping[str, DataFrame], chosen: list[Entity], since: str | None,
+    continue_on_error: bool, log: RunStore | None, run_id: int | None, resume: bool,
+) -> DataFrame:
+    """One entity after the other; the status updates that are due are written together before the next one."""
     manifest: list[tuple] = []
-    took_ms: list[int] = []
-    started = dt.datetime.now(dt.timezone.utc)
-    for position, entity in enumerate(in_load_order(entities)):
+    due: list[tuple] = []
+    seq = 0 if log is None else log.next_seq(run_id)
+
+    def report(*updates: tuple) -> None:
+        nonlocal seq
+        for entity, status, *more in updates:
+            due.append(_update(run_id, seq, entity, status, *more))
+            seq += 1
+
+    for position, entity in enumerate(chosen):
         clock = time.monotonic()
+        if log is not None:
+            report((entity.name, "running"))
+            log.log_progress(due)
+            due.clear()
         try:
-            records = sources[entity.name]
-            if dry_run:
-                row = (position, entity.name, "dry run", records.limit(page_size).count(), 0, None)
-            else:
-                rows, rejected = load_entity(spark, store, entity, records, since)
-                row = (position, entity.name, "loaded", rows, rejected, None)
+            rows, rejected = load_entity(spark, store, entity, sources[entity.name], since, run_id, resume)
+            row = (position, entity.name, "loaded", rows, rejected, None)
         except Exception as error:  # reported in the manifest, as the caller chose to go on or stop
-            detail = f"{type(error).__name__}: {error}"
-            row = (position, entity.name, "failed", 0, 0, detail)
+            row = (position, entity.name, "failed", 0, 0, f"{type(error).__name__}: {error}")
         manifest.append(row)
-        took_ms.append(int(1000 * (time.monotonic() - clock)))
-        if row[2] == "failed" and not continue_on_error:
-            break
-    result = spark.createDataFrame(manifest, MANIFEST)
-    if run_id is not None and not dry_run:
-        _log_run(spark, store, run_id, started, manifest, took_ms)
-    return result
-
-
-def _log_run(
-    spark: SparkSession, store: str, run_id: int, started: dt.datetime, manifest: list[tuple],
-    took_ms: list[int],
-) -> None:
-    """A few rows per run: the run itself, counts and timing per entity, an error per failure."""
-    failed = [m for m in manifest if m[2] == "failed"]
-    note = f"{len(manifest) - len(failed)}/{len(manifest)} entities, {sum(m[3] for m in manifest)} rows"
-    events = spark.createDataFrame(
-        [
-            (run_id, 0, "start", started, None, ", ".join(m[1] for m in manifest)),
-            (run_id, 1, "end", dt.datetime.now(dt.timezone.utc), not failed, note),
-        ],
-        "run_id bigint, seq int, kind string, at timestamp, success boolean, notes string",
-    )
-    append_metrics(events, f"{store}/meta/run_events")
-    counts = spark.createDataFrame(
-        [(run_id, m[1], m[3] + m[4]) for m in manifest],
-        "run_id bigint, entity string, items_retrieved bigint",
-    )
-    upsert(spark, f"{store}/meta/source_counts", META_KEYS["source_counts"], counts)
-    metrics = spark.createDataFrame(
-        [(run_id, m[1], m[3] + m[4], ms, m[5]) for m, ms in zip(manifest, took_ms)],
-        "run_id bigint, entity string, item_count bigint, duration_ms bigint, error_message string",
-    )
-    append_metrics(metrics, f"{store}/meta/request_metrics")
-    if failed:
-        errors = spark.createDataFrame(
-            [(run_id, m[1], "load", m[5]) for m in failed],
-            "run_id bigint, entity string, error_type string, error_message string",
-        )
-        append_metrics(errors.withColumn("created_at", F.current_timestamp()), f"{store}/meta/error_events")
+        ms = int(1000 * (time.monotonic() - clock))
+        if row[2] == "failed":
+            report((entity.name, "failed", None, None, ms, row[5]))
+            if not continue_on_error:
+                break
+        elif log is not None:
+            report((entity.name, "completed", row[3], row[4], ms))
+    if log is not None:
+        log.log_progress(due)
+        failed = [m for m in manifest if m[2] == "failed"]
+        done = len(manifest) - len(failed)
+        log.settle(run_id)
+        log.log_run(run_id, "end", not failed, f"{done}/{len(chosen)} entities, {sum(m[3] for m in manifest)} rows")
+    return spark.createDataFrame(manifest, MANIFEST)

@@ -181,6 +181,57 @@ _BASE_TAGS = """
     SELECT DISTINCT id AS contact_id, tag_id FROM (
       SELECT id, unnest([1 + id % 25, 1 + id * 7 % 25, 1 + id % 5]) AS tag_id FROM v_contacts)"""
 
+_KEPT = {
+    "contacts": "id % 50 != 3", "tags": "id % 9 != 4", "orders": "id % 40 != 5", "products": "id % 30 != 7",
+    "pipelines": "id != 2", "opportunities": "id % 70 != 8", "companies": "id % 5 != 1",
+}
+
+
+def _thinned_orphans(child: str) -> str:
+    def kept(table: str) -> str:
+        return f"(SELECT * FROM v_{table} WHERE {_KEPT.get(table, 'TRUE')})"
+
+    keys = ENTITIES[child].foreign_keys
+    return _orphans(kept(child), [(r.column, kept(r.parent)) for r in keys], where_null=child == "contact_tags")
+
+
+# entity -> the test table its raw records are made of, their number, and their key
+_LANDED: dict[str, tuple[str, str, str]] = {
+    "users": ("supplier", "s_suppkey", "k"),
+    "pipelines": ("region", "r_regionkey", "k"),
+    "stages": ("nation", "n_nationkey", "k"),
+    "tags": ("part", "p_partkey", "k"),
+    "companies": ("supplier", "s_suppkey", "k"),
+    "contacts": ("customer", "c_custkey", "k"),
+    "contact_tags": ("orders", "o_orderkey", "o_custkey || ':' || o_orderkey % 25"),
+    "opportunities": ("orders", "o_orderkey", "k"),
+    "tasks": ("events", "event_id", "k"),
+    "notes": ("conversations", "conv_id * 1000 + turn", "k"),
+    "products": ("part", "p_partkey", "k"),
+    "orders": ("orders", "o_orderkey", "k"),
+    "order_items": ("lineitem", "l_orderkey * 10 + l_linenumber", "k"),
+    "payments": ("lineitem WHERE l_returnflag = 'R'", "l_orderkey * 10 + l_linenumber", "k"),
+}
+
+
+def _loaded(entity: str, position: int) -> str:
+    """One row of a load's manifest and the rows the table holds; links between contacts and tags have no id to lose."""
+    table, number, key = _LANDED[entity]
+    bad = "(13)" if entity == "contact_tags" else "(11, 13)"
+    return (
+        f"SELECT CAST({position} AS BIGINT) AS position, '{entity}' AS entity, 'loaded' AS status,"
+        f" count(*) FILTER (k % 60 NOT IN {bad}) AS rows, count(*) FILTER (k % 60 IN {bad}) AS rejected,"
+        f" count(DISTINCT {key}) FILTER (k % 60 NOT IN {bad}) AS stored FROM (SELECT *, {number} AS k FROM {table})"
+    )
+
+
+def _attempt(attempt: int, position: int, entity: str) -> str:
+    return (
+        f"SELECT CAST({attempt} AS BIGINT) AS attempt, position, entity, status, rows, rejected,"
+        f" 'completed' AS progress, rows AS total_items_processed FROM ({_loaded(entity, position)})"
+    )
+
+
 _ORACLE: dict[str, str] = {
     # sources and sinks
     "ingest_pages": """
@@ -432,6 +483,11 @@ _ORACLE: dict[str, str] = {
         for n in ("contact_tags", "contacts", "opportunities", "tasks", "notes", "orders",
                   "order_items", "payments", "stages")
     ),
+    "fk_report_thinned": " UNION ALL ".join(
+        f"SELECT 'Orphaned {n}' AS table_name, n AS orphan_count FROM ({_thinned_orphans(n)})"
+        for n in ("contact_tags", "contacts", "opportunities", "tasks", "notes", "orders",
+                  "order_items", "payments", "stages")
+    ),
     "orphan_note_samples": """
         SELECT n.id, n.contact_id, CASE WHEN length(n.body) > 100 THEN substr(n.body, 1, 100) || '...'
             ELSE n.body END AS body, n.created_at
@@ -646,18 +702,28 @@ _ORACLE: dict[str, str] = {
         for t, c in (("run_log", "id"), ("request_log", "run_id"), ("source_counts", "run_id"),
                      ("snapshots", "run_id"), ("throttle_events", "run_id"), ("progress", "run_id"))
     ),
-    "ordered_load": " UNION ALL ".join(
-        f"SELECT CAST({i} AS BIGINT) AS position, '{n}' AS entity, 'loaded' AS status,"
-        f" count(*) FILTER (k % 60 NOT IN (11, 13)) AS rows,"
-        f" count(*) FILTER (k % 60 IN (11, 13)) AS rejected FROM (SELECT {k} AS k FROM {t})"
-        for i, (n, t, k) in enumerate(
-            (("users", "supplier", "s_suppkey"), ("tags", "part", "p_partkey"),
-             ("companies", "supplier", "s_suppkey"), ("contacts", "customer", "c_custkey"),
-             ("opportunities", "orders", "o_orderkey"), ("tasks", "events", "event_id"),
-             ("notes", "conversations", "conv_id * 1000 + turn"), ("products", "part", "p_partkey"),
-             ("orders", "orders", "o_orderkey"))
-        )
+    "ordered_load": " UNION ALL ".join(_loaded(n, i) for i, n in enumerate(_TABLES)),
+    "resumed_load": " UNION ALL ".join(
+        [_attempt(1, 0, "users"), _attempt(1, 1, "tags")]
+        + [
+            f"SELECT 1 AS attempt, 2 AS position, entity, 'failed' AS status, 0 AS rows, 0 AS rejected, progress,"
+            f" total_items_processed FROM ({_attempt(1, 2, 'companies')})"
+        ]
+        + [_attempt(2, i, n) for i, n in enumerate(("companies", "contacts", "products"))]
     ),
+    "load_run_metrics": f"""
+        WITH tried AS ({" UNION ALL ".join(_loaded(n, 0) for n in ("users", "tags", "companies", "contacts", "products"))}),
+        requests AS (SELECT entity, rows + rejected AS items, 0 AS failed FROM tried UNION ALL SELECT 'companies', 0, 1)
+        SELECT CAST(7 AS BIGINT) AS run_id, coalesce(entity, 'all') AS entity, count(*) AS requests,
+          CAST(sum(items) AS BIGINT) AS total_items, CAST(sum(failed) AS BIGINT) AS error_count
+        FROM requests GROUP BY ROLLUP (entity)""",
+    "unread_values": """
+        SELECT o_orderkey AS id, 'created_at' AS field, 'not-a-date' AS text FROM orders WHERE o_orderkey % 50 = 9
+        UNION ALL SELECT o_orderkey, 'updated_at', 'not-a-date' FROM orders WHERE (o_orderkey + 1) % 50 = 9
+        UNION ALL SELECT o_orderkey, 'value', '12 EUR' FROM orders WHERE o_orderkey % 40 = 7""",
+    "stored_checkpoints": """
+        SELECT run_id, entity, checkpoint_type, checkpoint_data, created_at FROM v_checkpoint_events
+        QUALIFY row_number() OVER (PARTITION BY run_id, entity, checkpoint_type ORDER BY created_at DESC, seq DESC) = 1""",
     "incremental_stream": f"""
         SELECT c_custkey AS id, c_name AS given_name, CAST(c_nationkey AS BIGINT) AS company_id,
           CASE WHEN c_custkey % 3 = 0 THEN c_custkey % 103 ELSE 7 END AS owner_id,

@@ -47,7 +47,8 @@ CHECKS: dict[str, Check] = {
 def issue_counts(tables: Tables, pack: Mapping[str, Check] = CHECKS) -> DataFrame:
     """(check_name, issue_count, failed) per check.
 
-    The reference checks of the pack share one look at the foreign keys. A check that cannot be
+    The reference checks of a table share one look at its foreign keys. Nothing runs while the plan is
+    built. A check that cannot be
     built, because a table or column is missing, counts as one issue with ``failed`` set; the
     others still run.
     """
@@ -57,7 +58,7 @@ def issue_counts(tables: Tables, pack: Mapping[str, Check] = CHECKS) -> DataFram
     for name, check in pack.items():
         try:
             if isinstance(check, checks.OrphanCheck):
-                checks.lost_keys(tables, [check])
+                checks.orphan_counts(tables, {name: check}, "check_name", "issue_count")
                 references[name] = check
             else:
                 found = check(tables).select(F.col("issue_count").cast("bigint").alias("issue_count"))
@@ -65,7 +66,7 @@ def issue_counts(tables: Tables, pack: Mapping[str, Check] = CHECKS) -> DataFram
         except (PySparkException, KeyError):
             broken.append((name, 1, True))
     if references:
-        parts.append(checks.orphan_counts(spark, tables, references, "check_name", "issue_count"))
+        parts.append(checks.orphan_counts(tables, references, "check_name", "issue_count"))
     parts = [p.withColumn("failed", F.lit(False)) for p in parts]
     if broken:
         shape = "check_name string, issue_count bigint, failed boolean"

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
@@ -11,6 +12,7 @@ from pyspark.sql import types as T
 from clientele.operators.contacts import contact_analytics, contacts_with_relationships
 from clientele.plans.specs import JSON_SHAPES
 from clientele.sources.tables import scan_entity
+from clientele.sources.versions import drop_path
 
 # Quotes are doubled, spaces kept, NULL and '' both written as nothing.
 CSV_OPTIONS: dict[str, str] = {
@@ -45,16 +47,20 @@ def csv_ready(df: DataFrame) -> DataFrame:
 
 
 def _write(df: DataFrame, path: str, fmt: str) -> int:
-    """Write and return the row count; an empty input leaves no file."""
-    if df.isEmpty():
-        return 0
+    """Write and return the row count; an empty input leaves no file.
+
+    Rows are counted while they are written, so a derived table is computed once.
+    """
     seen = Observation()
     counted = df.observe(seen, F.count(F.lit(1)).alias("n"))
     if fmt == "csv":
         counted.write.options(**CSV_OPTIONS).csv(path)
     else:
         counted.write.parquet(path)
-    return seen.get["n"]
+    rows = seen.get["n"]
+    if not rows:
+        drop_path(df.sparkSession, path)
+    return rows
 
 
 def export_csv(df: DataFrame, path: str) -> int:
@@ -65,11 +71,46 @@ def read_csv_export(spark: SparkSession, path: str, schema: T.StructType | str)
     return spark.read.options(**CSV_OPTIONS, multiLine="true").schema(schema).csv(path)
 
 
-def structured(df: DataFrame, shapes: Mapping[str, str] = JSON_SHAPES) -> DataFrame:
-    """JSON text columns in their declared structured form."""
+def _found_type(shape: str | None) -> T.DataType | None:
+    """The type that ``schema_of_variant_agg`` names; None if the column has no values of a known shape."""
+    if shape is None or shape == "VOID":
+        return None
+    ddl = re.sub(r"\bOBJECT<>|\b(VOID|VARIANT)\b", "STRING", shape).replace("OBJECT<", "STRUCT<")
+    return T.StructType.fromDDL(f"c {ddl}")["c"].dataType
+
+
+def _widened(declared: T.DataType, found: T.DataType | None) -> T.DataType:
+    """The declared type with the sub-keys that the data has beside the declared ones."""
+    if isinstance(declared, T.ArrayType) and isinstance(found, T.ArrayType):
+        return T.ArrayType(_widened(declared.elementType, found.elementType))
+    if isinstance(declared, T.StructType) and isinstance(found, T.StructType):
+        known = {f.name: f for f in found.fields}
+        fields = [T.StructField(f.name, _widened(f.dataType, known[f.name].dataType if f.name in known else None)) for f in declared.fields]
+        return T.StructType(fields + [f for f in found.fields if f.name not in declared.names])
+    if isinstance(declared, T.StringType) and isinstance(found, (T.StructType, T.ArrayType)):
+        return found
+    return declared
+
+
+def json_shapes(df: DataFrame, shapes: Mapping[str, str] = JSON_SHAPES) -> dict[str, T.DataType]:
+    """The type of every JSON text column: its declared shape with all further sub-keys its values have.
+
+    One pass over the JSON columns, merged per task and then over tasks; a row per table reaches the driver.
+    Without a single value of a column its declared shape stands.
+    """
     text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-    named = {c: F.from_json(c, shapes[c]) for c in df.columns if c in text and c in shapes}
-    return df.withColumns(named) if named else df
+    columns = [c for c in df.columns if c in text and c in shapes]
+    if not columns:
+        return {}
+    found = df.agg(*[F.schema_of_variant_agg(F.try_parse_json(F.col(f"`{c}`"))).alias(c) for c in columns]).first()
+    declared = {c: T.StructType.fromDDL(f"c {shapes[c]}")["c"].dataType for c in columns}
+    return {c: _widened(declared[c], _found_type(found[c])) for c in columns}
+
+
+def structured(df: DataFrame, shapes: Mapping[str, str] = JSON_SHAPES) -> DataFrame:
+    """JSON text columns in structured form, with every sub-key that occurs in them."""
+    kinds = json_shapes(df, shapes)
+    return df.withColumns({c: F.from_json(c, kind) for c, kind in kinds.items()}) if kinds else df
 
 
 def export_parquet(df: DataFrame, path: str, shapes: Mapping[str, str] = JSON_SHAPES) -> int:

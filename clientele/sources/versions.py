@@ -26,6 +26,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
+def drop_path(spark: SparkSession, path: str) -> bool:
+    """Remove a folder with all it holds; False if there was none."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).delete(where, True)
+
+
+def _part_numbers(spark: SparkSession, path: str) -> list[int]:
+    """The key ranges of a written folder, one number per sub-folder; no data is read."""
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    listed = where.getFileSystem(spark._jsc.hadoopConfiguration()).listStatus(where)
+    names = [entry.getPath().getName() for entry in listed]
+    return sorted(int(n.removeprefix(f"{_PART}=")) for n in names if n.startswith(f"{_PART}="))
+
+
 class VersionedTable:
     """One table with one writer at a time."""
 
@@ -98,9 +112,7 @@ class VersionedTable:
         folder = f"v{self.version + 1}-{uuid.uuid4().hex}"
         parted = self._with_part(df)
         parted.hint("rebalance", _PART).write.partitionBy(_PART).parquet(f"{self.path}/{folder}")
-        written = self.spark.read.schema(parted.schema).parquet(f"{self.path}/{folder}")
-        # One number per key range; only folder names and footers are read.
-        return folder, sorted(r[0] for r in written.select(_PART).distinct().collect())
+        return folder, _part_numbers(self.spark, f"{self.path}/{folder}")
 
     def _switch(self, folders: list[tuple[str, list[int]]], layout: str, tag: int | None) -> None:
         version = self.version + 1

@@ -7,7 +7,6 @@ import hashlib
 import pytest
 from pyspark.sql import functions as F
 
-from clientele.functions.ranking import rank_within
 from clientele.operators import compare, contacts, digest, files, runs
 from clientele.plans.specs import ENTITIES
 from clientele.session import work_dir
@@ -75,28 +74,10 @@ def test_snapshot_of_a_first_run_has_no_previous(spark):
     assert got == [("t", 9, 5, 4), ("u", 4, None, 4)]
 
 
-@pytest.mark.parametrize("descending", [False, True])
-def test_rank_equals_row_number(spark, descending):
-    """One group holds a third of the rows and spans several blocks."""
-    rows = spark.range(0, 400_000, 7).selectExpr("id", "CASE WHEN id % 3 = 0 THEN 'hot' ELSE CAST(id % 50 AS STRING) END AS g")
-    ranked = rank_within(rows, ["g"], "id", descending=descending)
-    way = "DESC" if descending else "ASC"
-    plain = rows.selectExpr("id", "g", f"row_number() OVER (PARTITION BY g ORDER BY id {way}) AS want")
-    both = ranked.join(plain, ["id", "g"])
-    assert both.count() == rows.count()
-    assert both.filter("rank != want").count() == 0
-
-
-@pytest.mark.parametrize("descending", [False, True])
-def test_rank_of_scattered_values(spark, descending):
-    """Values all over the 64-bit range, negative ones too, so that every level of blocks counts."""
-    rows = spark.range(3000).selectExpr("xxhash64(id) AS id", "CAST(id % 2 AS STRING) AS g")
-    rows = rows.unionByName(spark.range(70_000).selectExpr("id * 65536 AS id", "'h' AS g"))
-    ranked = rank_within(rows, ["g"], "id", descending=descending)
-    way = "DESC" if descending else "ASC"
-    plain = rows.selectExpr("id", "g", f"row_number() OVER (PARTITION BY g ORDER BY id {way}) AS want")
-    both = ranked.join(plain, ["id", "g"])
-    assert both.count() == 73_000 and both.filter("rank != want").count() == 0
+def test_snapshots_are_ranked_newest_first(spark):
+    snaps = spark.createDataFrame([("t", r, 5) for r in (1, 12, 3)] + [("u", 2, 1)], "table_name string, run_id bigint, row_count bigint")
+    got = {(r.table_name, r.run_id): r.rn for r in runs.rank_snapshots(snaps).collect()}
+    assert got == {("t", 12): 1, ("t", 3): 2, ("t", 1): 3, ("u", 2): 1}
 
 
 def test_contact_counts_against_the_literal_join(spark, shop):

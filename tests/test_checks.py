@@ -23,7 +23,13 @@ def test_orphans(shop, name):
 
 
 def test_fk_report(spark, shop):
-    got = {r.table_name: r.orphan_count for r in checks.fk_report(spark, shop).collect()}
+    jobs = spark.sparkContext.statusTracker()
+    before = len(jobs.getJobIdsForGroup(None))
+    report = checks.fk_report(shop)
+    summary = validation_summary(shop)
+    assert len(jobs.getJobIdsForGroup(None)) == before  # nothing has run yet
+    assert "HashAggregate" in report._jdf.queryExecution().toString() and summary.columns[0] == "check_name"
+    got = {r.table_name: r.orphan_count for r in report.collect()}
     assert got["Orphaned contact_tags"] == 3 and got["Orphaned stages"] == 1
     assert len(got) == 9
 
