@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientele.operators import checks, compare, contacts, digest, files, flatten, merge, runs
-from clientele.plans import load, run_store, validation
+from clientele.plans import load, retention, run_store, validation
 from clientele.plans.specs import ALLOWED_VALUES, ENTITIES, LOAD_ORDER, META_KEYS
 from clientele.session import use_utc, work_dir
 from clientele.sources import exports, pages, tables as scans
@@ -668,22 +668,19 @@ def _(t):
 
 @query("retention")
 def _(t):
-    """Rows kept and removed per table when runs older than 15 days go."""
-    kept = merge.retain_runs(t["run_log"], "2024-02-01 00:00:00", 15)
-    parts = []
-    for name in ("run_log", "request_log", "source_counts", "snapshots", "throttle_events", "progress"):
-        if name == "run_log":
-            left = kept
-        else:
-            left = merge.retain_children(t[name], kept)
-        tried = left.select(F.lit(1).alias("k")).unionByName(t[name].select(F.lit(0).alias("k")))
-        parts.append(
-            tried.agg(
-                F.count_if(F.col("k") == 1).alias("kept"),
-                (F.count_if(F.col("k") == 0) - F.count_if(F.col("k") == 1)).alias("removed"),
-            ).select(F.lit(name).alias("table_name"), "kept", "removed")
-        )
-    return checks.union_all(parts)
+    """Rows kept and removed per stored table when runs older than 15 days go; kept ones are counted after it."""
+    store = work_dir(t.spark, "runs")
+    names = ("request_log", "source_counts", "snapshots", "throttle_events", "progress", "run_log")
+    for name in names:
+        rows = t[name].withColumnRenamed("id", "run_id") if name == "run_log" else t[name]
+        load.append_metrics(rows, f"{store}/{name}")
+    stored = t.spark.read.parquet(f"{store}/run_log").select(F.col("run_id").cast("bigint").alias("id"), "started_at")
+    expired = retention.expired_runs(stored, "2024-02-01 00:00:00", 15)
+    removed = retention.remove_old_runs(
+        t.spark, {n: f"{store}/{n}" for n in names[:-1]}, (names[-1], f"{store}/{names[-1]}"), expired
+    )
+    left = [t.spark.read.parquet(f"{store}/{n}").agg(F.count("*").alias("kept")).select(F.lit(n).alias("table_name"), "kept") for n in names]
+    return checks.union_all(left).join(removed.drop("kept"), "table_name")
 
 
 def _arrived(t: CrmTables, entity: str) -> DataFrame:

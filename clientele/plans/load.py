@@ -13,6 +13,7 @@ from clientele.operators.flatten import good_rows, reached_since, with_reason
 from clientele.operators.merge import default_order, latest_per_key
 from clientele.plans.run_store import RunStore, append_metrics, now
 from clientele.plans.specs import ENTITIES, LOAD_ORDER, Entity
+from clientele.session import few_rows
 from clientele.sources.versions import VersionedTable, path_exists
 
 __all__ = ["append_metrics", "in_load_order", "load_entity", "ordered_load", "resume_load", "upsert"]
@@ -111,7 +112,7 @@ def ordered_load(
     chosen = in_load_order(entities)
     if dry_run:
         rows = [(i, e.name, "dry run", sources[e.name].limit(page_size).count(), 0, None) for i, e in enumerate(chosen)]
-        return spark.createDataFrame(rows, MANIFEST)
+        return few_rows(spark, rows, MANIFEST)
     log = None if run_id is None else RunStore(spark, store)
     if log is not None:
         log.log_run(run_id, "start", None, ", ".join(e.name for e in chosen))
@@ -143,7 +144,7 @@ def resume_load(
     run_id = log.interrupted_run() if run_id is None else run_id
     left = [] if run_id is None else log.left_to_do(run_id)
     if not left:
-        return spark.createDataFrame([], MANIFEST)
+        return few_rows(spark, [], MANIFEST)
     return _load_all(spark, store, sources, in_load_order(left), since, continue_on_error, log, run_id, resume=True)
 
 
@@ -191,4 +192,4 @@ def _load_all(
         done = len(manifest) - len(failed)
         log.settle(run_id)
         log.log_run(run_id, "end", not failed, f"{done}/{len(chosen)} entities, {sum(m[3] for m in manifest)} rows")
-    return spark.createDataFrame(manifest, MANIFEST)
+    return few_rows(spark, manifest, MANIFEST)

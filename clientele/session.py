@@ -4,10 +4,13 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Iterator, Mapping
+from collections.abc import Iterator, Mapping, Sequence
 from contextlib import contextmanager
 
-from pyspark.sql import SparkSession
+import pyarrow as pa
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.types import StructType
 
 
 def local_session(cpus: int = 8, shuffle_partitions: int | None = None) -> SparkSession:
@@ -46,6 +49,13 @@ def session_settings(spark: SparkSession, settings: Mapping[str, str]) -> Iterat
             spark.conf.unset(name) if value is None else spark.conf.set(name, value)
 
 
+def few_rows(spark: SparkSession, rows: Sequence[tuple], schema: str) -> DataFrame:
+    """A handful of rows as a local relation, handed over as Arrow: no Python worker is needed to read them."""
+    kind = StructType.fromDDL(schema)
+    records = [dict(zip(kind.names, row)) for row in rows]
+    return spark.createDataFrame(pa.Table.from_pylist(records, schema=to_arrow_schema(kind)), kind)
+
+
 def work_dir(spark: SparkSession, label: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, the folder all executors share.
 

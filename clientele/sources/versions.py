@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from clientele.operators.merge import merge_rows
+from clientele.session import few_rows
 
 _MANIFEST = "version bigint, folder string, parts array<bigint>, tag bigint, layout string"
 _PART = "_part"
@@ -120,7 +121,7 @@ class VersionedTable:
             Row(version=version, folder=folder, parts=parts, tag=tag, layout=layout)
             for folder, parts in folders
         ]
-        entries = self.spark.createDataFrame(live, _MANIFEST).coalesce(1)
+        entries = few_rows(self.spark, live, _MANIFEST).coalesce(1)
         entries.write.mode("append").parquet(f"{self.path}/manifest")
         self._live = live
 
@@ -141,3 +142,19 @@ class VersionedTable:
         self._switch(folders, self._live[0].layout, tag)
         if len(folders) > self.max_folders:
             self.replace(self.current(), tag)
+
+    def remove(self, values: list[int]) -> int:
+        """Remove the rows whose first key column is in ``values``; only their ranges are rewritten.
+
+        Returns how many rows went. The table must exist.
+        """
+        wanted = self.spark.createDataFrame([(v,) for v in values], f"`{self.key[0]}` bigint")
+        ranges = self._ranges(wanted)
+        old = self._within(ranges)
+        gone = old.join(wanted, self.key[0], "left_semi").count()
+        if not gone:
+            return 0
+        new = self._write_folder(old.join(wanted, self.key[0], "left_anti").select(*old.columns))
+        kept = [(e.folder, [p for p in e.parts if p not in ranges]) for e in self._live]
+        self._switch([entry for entry in kept if entry[1]] + [new], self._live[0].layout, self.last_tag())
+        return gone

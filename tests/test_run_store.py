@@ -9,7 +9,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from clientele.operators import flatten, merge, runs
-from clientele.plans import load
+from clientele.plans import load, retention
 from clientele.plans.run_store import RunStore, fold_into
 from clientele.plans.specs import ENTITIES
 from clientele.session import work_dir
@@ -152,6 +152,51 @@ def test_nothing_to_resume(spark):
     assert (log.progress().count(), log.checkpoints().count(), log.run_log().count()) == (0, 0, 0)
 
 
+def test_old_runs_are_removed_with_all_their_rows(spark, monkeypatch):
+    store = work_dir(spark, "store")
+    log = RunStore(spark, store)
+    for run, day in ((1, 1), (2, 20), (3, 25)):
+        monkeypatch.setattr("clientele.plans.run_store.now", lambda day=day: dt.datetime(2024, 1, day, tzinfo=dt.timezone.utc))
+        monkeypatch.setattr(load, "now", lambda day=day: dt.datetime(2024, 1, day, tzinfo=dt.timezone.utc))
+        load.ordered_load(spark, store, sources(spark), ["users", "tags"], run_id=run)
+    log._append("run_events", [(4, 0, "end", None, True, "no start")], "run_id bigint, seq bigint, kind string, at timestamp, success boolean, notes string")
+    removed = {r.table_name: (r.kept, r.removed) for r in log.retain("2024-01-31 00:00:00", 15).collect()}
+    assert removed == {"progress_events": (12, 6), "request_metrics": (4, 2), "error_events": (0, 0), "run_events": (5, 2)}
+    assert sorted(r.id for r in log.run_log().collect()) == [2, 3, 4]
+    for table in (log.progress(), log.checkpoints(), log.source_counts(), log.request_metrics()):
+        assert {r.run_id for r in table.select("run_id").collect()} == {2, 3}
+    again = {r.removed for r in log.retain("2024-01-31 00:00:00", 15).collect()}
+    assert again == {0} and load.resume_load(spark, store, {}, 2).collect() == []
+
+
+def test_a_removal_that_died_is_taken_up_again(spark, monkeypatch):
+    store = work_dir(spark, "runs")
+    rows = spark.createDataFrame([(1, "a"), (1, "b"), (2, "c")], "run_id bigint, v string")
+    runs_of = spark.createDataFrame([(1, dt.datetime(2024, 1, 1)), (2, dt.datetime(2024, 1, 30))], "run_id bigint, started_at timestamp_ntz")
+    for name in ("x", "y"):
+        load.append_metrics(rows, f"{store}/{name}")
+    load.append_metrics(runs_of, f"{store}/log")
+    paths, plain = {n: f"{store}/{n}" for n in ("x", "y")}, retention.drop_path
+
+    def dying(spark, path):
+        if "/y/" in path:
+            raise Died
+        return plain(spark, path)
+
+    def log():
+        return spark.read.parquet(f"{store}/log").selectExpr("CAST(run_id AS BIGINT) AS id", "started_at")
+
+    expired = retention.expired_runs(log(), "2024-02-01 00:00:00", 15)
+    with monkeypatch.context() as patch:
+        patch.setattr(retention, "drop_path", dying)
+        with pytest.raises(Died):
+            retention.remove_old_runs(spark, paths, ("log", f"{store}/log"), expired)
+    assert [spark.read.parquet(p).count() for p in paths.values()] == [1, 3]
+    assert retention.expired_runs(log(), "2024-02-01 00:00:00", 15) == [1]
+    done = retention.remove_old_runs(spark, paths, ("log", f"{store}/log"), [1]).collect()
+    assert [tuple(r) for r in done] == [("x", 1, 0), ("y", 1, 2), ("log", 1, 1)]
+
+
 # --- values that do not fit --------------------------------------------------------------
 
 
