@@ -8,6 +8,7 @@ from collections.abc import Iterable
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from clientele.functions.exact_json import mark_numbers, unmark_value
 from clientele.plans.specs import JSON, TIME, Field
 
 _PATH = re.compile(r"^(=?)(\w+)(\[0\])?(?:\.(\w+))?$")
@@ -24,8 +25,11 @@ def parse_payload(df: DataFrame, fields: Iterable[Field], corrupt: str) -> DataF
 
     A nested value under ``key`` becomes ``_in_key``: a struct of the wanted sub-keys, or a list
     of such structs. It is part of the same parse, unless the whole value is needed as text too.
+    Fractions are marked, see ``exact_json``, and unmarked in a projection of their own, once per
+    path; ``path_value`` names its columns.
     """
-    paths = [split_path(p) for f in fields for p in f.paths]
+    wanted = list(dict.fromkeys(p for f in fields for p in f.paths))
+    paths = [split_path(p) for p in wanted]
     columns, nested = [], {}
     for head in sorted({head for _, head, _, _ in paths}):
         mine = [p for p in paths if p[1] == head]
@@ -41,9 +45,20 @@ def parse_payload(df: DataFrame, fields: Iterable[Field], corrupt: str) -> DataF
         columns.append(f"`{head}` {shape}")
     schema = ", ".join([*columns, f"`{corrupt}` string"])
     parsed = df.withColumn(
-        "_doc", F.from_json("raw", schema, {"columnNameOfCorruptRecord": corrupt})
+        "_doc", F.from_json(mark_numbers(F.col("raw")), schema, {"columnNameOfCorruptRecord": corrupt})
     )
-    return parsed.withColumns(nested) if nested else parsed
+    parsed = parsed.withColumns(nested) if nested else parsed
+    return parsed.withColumns({f"_at_{p}": unmark_value(_found(p)) for p in wanted})
+
+
+def _found(path: str) -> Column:
+    """The marked text at ``path``; with a leading ``=`` only if it is neither an object nor a list."""
+    scalar, head, first, below = split_path(path)
+    if below:
+        nested = F.col(f"_in_{head}")
+        return (F.get(nested, F.lit(0)) if first else nested).getField(below)
+    value = F.col("_doc").getField(head)
+    return F.when(~value.rlike(r"^\s*[\{\[]"), value) if scalar else value
 
 
 def iso_timestamp(text: Column) -> Column:
@@ -56,14 +71,7 @@ def iso_timestamp(text: Column) -> Column:
 
 def path_value(path: str) -> Column:
     """The text at ``path`` in a frame made by ``parse_payload``."""
-    scalar, head, first, below = split_path(path)
-    if below:
-        nested = F.col(f"_in_{head}")
-        return (F.get(nested, F.lit(0)) if first else nested).getField(below)
-    value = F.col("_doc").getField(head)
-    if scalar:
-        return F.when(~value.rlike(r"^\s*[\{\[]"), value)
-    return value
+    return F.col(f"`_at_{path}`")
 
 
 def field_column(field: Field) -> Column:

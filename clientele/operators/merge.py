@@ -19,9 +19,12 @@ def latest_per_key(rows: DataFrame, key: tuple[str, ...], order: tuple[str, ...]
 
 
 def default_order(rows: DataFrame, key: tuple[str, ...]) -> tuple[str, ...]:
-    """An order for rows without arrival order: by ``updated_at`` where there is one, then by content."""
+    """An order for rows without arrival order: by ``updated_at`` where there is one, then by content.
+
+    Rows that are nothing but their key are all alike.
+    """
     content = [c for c, kind in rows.dtypes if c not in (*key, "updated_at") and "map<" not in kind]
-    return (*[c for c in rows.columns if c == "updated_at"], *content)
+    return (*[c for c in rows.columns if c == "updated_at"], *content) or key
 
 
 def merge_rows(
@@ -30,11 +33,14 @@ def merge_rows(
     """Insert or replace on ``key``; a replaced row takes every column of the update, NULLs too.
 
     Of several updates of a key the last by ``order`` wins; without one, ``default_order`` decides.
+    Columns that only the updates have come after the target's and are NULL in untouched rows; those
+    the updates lack are NULL in the rows they write. Columns of ``order`` that the target does not
+    have are no data and go.
     """
     last = latest_per_key(updates, key, order or default_order(updates, key))
-    last = last.select(*target.columns)
+    last = last.drop(*[c for c in order if c not in target.columns])
     untouched = target.join(last.select(*key), list(key), "left_anti")
-    return untouched.select(*target.columns).unionByName(last)
+    return untouched.select(*target.columns).unionByName(last, allowMissingColumns=True)
 
 
 def merge_entity(

@@ -70,6 +70,21 @@ def _(t):
     return flatten.flatten(rows, ENTITIES["contacts"]).select("id", "given_name", "company_id", "tag_ids")
 
 
+@query("exact_numbers")
+def _(t):
+    """Orders landed with amounts of 26 digits, zeros at the end included; the record's text and its typed fields."""
+    folder = work_dir(t.spark, "landing")
+    amount = F.col("o_totalprice").cast("decimal(15,2)")
+    record = F.concat(
+        F.lit('{"id":'), F.col("o_orderkey"), F.lit(',"total":'), amount, F.lit(',"currency":"at 1.50","custom_fields":[{"id":1,"rate":'),
+        amount.cast("decimal(38,20)"), F.lit('}]}'),
+    )
+    landed = t.star("orders").select(F.col("o_orderkey").alias("id"), record.alias("raw"))
+    pages.to_pages(landed, "orders").write.text(folder)
+    rows = flatten.flatten(pages.ingest_pages(t.spark, folder), ENTITIES["orders"])
+    return rows.select("id", "raw", F.col("total").cast("string").alias("total"), "currency", "custom_fields")
+
+
 @query("scan_entity")
 def _(t):
     return scans.scan_entity(t["contacts"], "owner_id > 50 AND country_code = 'CA'", 500)
@@ -496,6 +511,32 @@ def _(t):
     return digest.snapshot_all(t, _table_keys(), t["run_log"])
 
 
+SNAPPED = ("users", "contacts", "opportunities", "products")
+
+
+def _snapshots_of_two_loads(t: CrmTables) -> DataFrame:
+    """Tables loaded in two overlapping parts, with a snapshot after either."""
+    store = work_dir(t.spark, "store")
+    log = run_store.RunStore(t.spark, store)
+    for run_id, part in ((1, "id % 3 < 2"), (2, "id % 3 > 0")):
+        sources = {n: raw_records(t, n).filter(part).selectExpr("raw", "id AS seq") for n in SNAPPED}
+        load.ordered_load(t.spark, store, sources, list(SNAPPED))
+        log.take_snapshot(run_id, {n: VersionedTable(t.spark, f"{store}/{n}") for n in SNAPPED})
+    return log.snapshots()
+
+
+@query("stored_snapshots")
+def _(t):
+    """Snapshots kept by two runs, with their rank per table, newest first."""
+    kept = _snapshots_of_two_loads(t)
+    return kept.join(runs.rank_snapshots(kept).drop("row_count"), ["table_name", "run_id"])
+
+
+@query("stored_snapshot_delta")
+def _(t):
+    return runs.snapshot_delta(_snapshots_of_two_loads(t))
+
+
 @query("file_sync_totals")
 def _(t):
     known, incoming = _file_split(t)
@@ -584,6 +625,16 @@ def _(t):
     return merge.merge_entity(stored, updates, ENTITIES["opportunities"], ("seq",))
 
 
+@query("merge_new_column")
+def _(t):
+    """A stored table that gets a column by a merge: rows it replaces or adds have it, all others NULL."""
+    stored, updates = _order_versions(t)
+    table = VersionedTable(t.spark, work_dir(t.spark, "widened"), part_width=20_000)
+    table.replace(stored)
+    table.merge(updates.withColumn("source", F.concat(F.lit("import "), F.col("seq"))), ("seq",))
+    return table.current()
+
+
 @query("merge_contact_tags")
 def _(t):
     links = t["contact_tags"].withColumn("source", F.lit("bought"))

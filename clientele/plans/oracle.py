@@ -149,6 +149,12 @@ _ORDERED_DIGEST = f"""
     SELECT table_name, count(*) AS row_count, min(id) AS id_min, max(id) AS id_max,
       {_KEY_CHECKSUM.format(key="CAST(id AS VARCHAR)")} AS checksum_md5
     FROM ids GROUP BY table_name"""
+#: Tables after two loads of overlapping parts; the second one completes them.
+_TWO_LOADS = " UNION ALL ".join(
+    f"SELECT CAST({run} AS BIGINT) AS run_id, '{name}' AS table_name, id FROM v_{name} WHERE {part}"
+    for name in ("users", "contacts", "opportunities", "products")
+    for run, part in ((1, "id % 3 < 2"), (2, "TRUE"))
+)
 _ROLLING_DIGEST = f"""
     SELECT 'contact_tags' AS table_name, count(*) AS row_count, CAST(NULL AS BIGINT) AS id_min,
       CAST(NULL AS BIGINT) AS id_max, {_KEY_CHECKSUM.format(key="contact_id || ':' || tag_id")} AS checksum_md5
@@ -237,6 +243,12 @@ _ORACLE: dict[str, str] = {
     "ingest_pages": """
         SELECT c_custkey AS id, c_name AS given_name, CAST(c_nationkey AS BIGINT) AS company_id,
           '[' || (c_custkey % 25) || ',' || (c_custkey * 7 % 25) || ']' AS tag_ids FROM customer""",
+    "exact_numbers": """
+        WITH amounts AS (SELECT o_orderkey AS id, CAST(CAST(o_totalprice AS DECIMAL(15,2)) AS VARCHAR) AS total FROM orders),
+        parts AS (SELECT id, total, 'at 1.50' AS currency,
+            '[{"id":1,"rate":' || total || '000000000000000000}]' AS custom_fields FROM amounts)
+        SELECT id, '{"id":' || id || ',"total":' || total || ',"currency":"at 1.50","custom_fields":' || custom_fields || '}' AS raw,
+          total, currency, custom_fields FROM parts""",
     "scan_entity": """
         SELECT * REPLACE (CAST(score_value AS DOUBLE) AS score_value) FROM v_contacts
         WHERE owner_id > 50 AND country_code = 'CA' ORDER BY id LIMIT 500""",
@@ -599,6 +611,15 @@ _ORACLE: dict[str, str] = {
         "SELECT (SELECT max(id) FROM v_run_log) AS run_id, 'crm' AS schema_name, table_name, count(*) AS row_count")}
         UNION ALL {_ROLLING_DIGEST.replace("SELECT 'contact_tags'",
         "SELECT (SELECT max(id) FROM v_run_log), 'crm', 'contact_tags'")}""",
+    "stored_snapshots": f"""
+        SELECT *, row_number() OVER (PARTITION BY table_name ORDER BY run_id DESC) AS rn FROM (
+          SELECT run_id, 'crm' AS schema_name, table_name, count(*) AS row_count, min(id) AS id_min, max(id) AS id_max,
+            {_KEY_CHECKSUM.format(key="CAST(id AS VARCHAR)")} AS checksum_md5
+          FROM ({_TWO_LOADS}) GROUP BY run_id, table_name)""",
+    "stored_snapshot_delta": f"""
+        SELECT table_name, count(*) FILTER (run_id = 2) AS current_rows, count(*) FILTER (run_id = 1) AS previous_rows,
+          count(*) FILTER (run_id = 2) - count(*) FILTER (run_id = 1) AS delta
+        FROM ({_TWO_LOADS}) GROUP BY table_name""",
     "file_sync_totals": """
         WITH known AS (SELECT DISTINCT contact_id, file_hash FROM v_contact_files
                        WHERE file_path < '/store/src15'),
@@ -652,6 +673,10 @@ _ORACLE: dict[str, str] = {
         WHERE status IN ('pending', 'running', 'failed')""",
     # writes
     "merge_entity": _MERGED_OPPS,
+    "merge_new_column": f"""
+        SELECT *, CASE WHEN created_at >= TIMESTAMP '1996-07-01'
+            THEN 'import ' || CASE WHEN id % 3 = 0 THEN 2 ELSE 1 END END AS source
+        FROM ({_MERGED_OPPS})""",
     "merge_contact_tags": f"""
         WITH listed AS ({_BASE_TAGS})
         SELECT contact_id, tag_id, 'listed' AS source FROM listed

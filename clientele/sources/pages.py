@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from clientele.functions.exact_json import mark_numbers, unmark_json
 from clientele.plans.specs import ENVELOPE_KEYS
 
 _ENVELOPE = ", ".join(f"`{key}` array<string>" for key in ENVELOPE_KEYS)
@@ -31,11 +32,12 @@ def read_pages(spark: SparkSession, path: str, *, one_page_per_file: bool = Fals
 def unwrap_pages(pages: DataFrame) -> DataFrame:
     """One row per record: the page's other columns, ``pos`` inside the page, and ``raw`` text.
 
-    The first envelope key that holds a list wins; a page of unknown shape gives no rows.
+    The first envelope key that holds a list wins; a page of unknown shape gives no rows. Numbers
+    keep all their digits, as they stand in the page.
     """
     is_list = F.col("value").rlike(r"^\s*\[")
     # Parsed in a projection of their own, so that a page is parsed once and not once per key.
-    parsed = pages.withColumns(
+    parsed = pages.withColumn("value", mark_numbers(F.col("value"))).withColumns(
         {
             "_list": F.when(is_list, F.from_json("value", "array<string>")),
             "_envelope": F.when(~is_list, F.from_json("value", _ENVELOPE)),
@@ -44,7 +46,7 @@ def unwrap_pages(pages: DataFrame) -> DataFrame:
     lists = [F.col("_envelope").getField(key) for key in ENVELOPE_KEYS]
     others = [c for c in pages.columns if c != "value"]
     records = parsed.select(*others, F.posexplode(F.coalesce("_list", *lists)).alias("pos", "raw"))
-    return records.filter(F.col("raw").isNotNull())
+    return records.filter(F.col("raw").isNotNull()).withColumn("raw", unmark_json(F.col("raw")))
 
 
 def ingest_pages(spark: SparkSession, path: str, **options) -> DataFrame:

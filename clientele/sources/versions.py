@@ -11,14 +11,19 @@ from __future__ import annotations
 import json
 import uuid
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clientele.operators.digest import digest_of_states, key_states
 from clientele.operators.merge import merge_rows
 from clientele.session import few_rows
 
 _MANIFEST = "version bigint, folder string, parts array<bigint>, tag bigint, layout string"
+_STATES = (
+    "folder string, part bigint, row_count bigint, id_min bigint, id_max bigint,"
+    " high decimal(38,0), low decimal(38,0)"
+)
 _PART = "_part"
 
 
@@ -41,6 +46,13 @@ def _part_numbers(spark: SparkSession, path: str) -> list[int]:
     return sorted(int(n.removeprefix(f"{_PART}=")) for n in names if n.startswith(f"{_PART}="))
 
 
+def _as_stored(stored: T.StructField, merged: T.StructField) -> Column:
+    """A merged column in its stored type; types that differ in nullability only are the same."""
+    column = F.col(f"`{stored.name}`")
+    same = stored.dataType.simpleString() == merged.dataType.simpleString()
+    return column if same else column.cast(stored.dataType)
+
+
 class VersionedTable:
     """One table with one writer at a time."""
 
@@ -75,18 +87,17 @@ class VersionedTable:
     def current(self) -> DataFrame | None:
         return self._read(self._live) if self._live else None
 
+    def _rows_of(self, entry, layout: T.StructType) -> DataFrame:
+        """The live rows of a folder with their key range; columns it was written without are NULL."""
+        fields = [*layout.fields, T.StructField(_PART, T.LongType())]
+        folder = self.spark.read.schema(T.StructType(fields)).parquet(f"{self.path}/{entry.folder}")
+        return folder.filter(F.col(_PART).isin(*entry.parts))
+
     def _read(self, entries) -> DataFrame:
         layout = T.StructType.fromJson(json.loads(self._live[0].layout))
-        stored = layout.add(_PART, T.LongType()) if _PART not in layout.names else layout
-        frames = [
-            self.spark.read.schema(stored)
-            .parquet(f"{self.path}/{e.folder}")
-            .filter(F.col(_PART).isin(*e.parts))
-            for e in entries
-            if e.parts
-        ]
+        frames = [self._rows_of(e, layout) for e in entries if e.parts]
         if not frames:
-            return self.spark.createDataFrame([], stored).drop(_PART)
+            return self.spark.createDataFrame([], layout)
         table = frames[0]
         for frame in frames[1:]:
             table = table.unionByName(frame)
@@ -130,18 +141,66 @@ class VersionedTable:
         self._switch([self._write_folder(df)], df.schema.json(), tag)
 
     def merge(self, updates: DataFrame, order: tuple[str, ...] = (), tag: int | None = None) -> None:
-        """Insert or replace on the key; see ``merge_rows``. The table must exist."""
+        """Insert or replace on the key; see ``merge_rows``. The table must exist.
+
+        Columns that are new in the updates become columns of the table. Folders written before
+        lack them and stay as they are: a Parquet scan gives NULL for them. A column keeps the type
+        it was stored with; a value that does not fit it ends the merge before anything is switched.
+        """
+        layout = self._widened(updates, order)
         ranges = self._ranges(updates)
         if not ranges:
             kept = [(e.folder, e.parts) for e in self._live]
-            return self._switch(kept, self._live[0].layout, tag)
-        old = self._within(ranges)
-        new = self._write_folder(merge_rows(old, updates, self.key, order))
+            return self._switch(kept, layout.json(), tag)
+        merged = merge_rows(self._within(ranges), updates, self.key, order)
+        new = self._write_folder(merged.select(*[_as_stored(f, merged.schema[f.name]) for f in layout]))
         kept = [(e.folder, [p for p in e.parts if p not in ranges]) for e in self._live]
-        folders = [entry for entry in kept if entry[1]] + [new]
-        self._switch(folders, self._live[0].layout, tag)
-        if len(folders) > self.max_folders:
-            self.replace(self.current(), tag)
+        self._switch([entry for entry in kept if entry[1]] + [new], layout.json(), tag)
+        if len(self._live) > self.max_folders:
+            self._join_small_folders()
+
+    def _widened(self, updates: DataFrame, order: tuple[str, ...]) -> T.StructType:
+        """The stored columns, then those only the updates have; every column may be NULL."""
+        stored = T.StructType.fromJson(json.loads(self._live[0].layout))
+        new = [f for f in updates.schema if f.name not in (*stored.names, *order)]
+        return T.StructType([T.StructField(f.name, f.dataType) for f in (*stored, *new)])
+
+    def _join_small_folders(self) -> None:
+        """Rewrite the folders with the fewest key ranges as one, so that the list stays short.
+
+        A range is in one folder only, so the large folders, most of the table, are not touched.
+        """
+        by_size = sorted(self._live, key=lambda e: len(e.parts))
+        small, large = by_size[: self.max_folders // 2 + 1], by_size[self.max_folders // 2 + 1 :]
+        joined = self._write_folder(self._read(small))
+        self._switch([(e.folder, e.parts) for e in large] + [joined], self._live[0].layout, self.last_tag())
+
+    def digest(self, name: str) -> DataFrame:
+        """The digest of the table from the states of its key ranges, see ``operators.digest``.
+
+        States are stored per folder and range. Only ranges written since the last digest are read,
+        and of these only the key; ranges that a merge replaced drop out with their folder.
+        """
+        path, entries = f"{self.path}/digests", [e for e in self._live if e.parts]
+        folders = [e.folder for e in entries]
+
+        def stored() -> DataFrame:
+            if not path_exists(self.spark, path):
+                return self.spark.createDataFrame([], _STATES)
+            return self.spark.read.schema(_STATES).parquet(path).filter(F.col("folder").isin(*folders))
+
+        # At most as many as the table has live folders.
+        known = {r.folder for r in stored().select("folder").distinct().collect()} if folders else set()
+        for e in [e for e in entries if e.folder not in known]:
+            rows = self._rows_of(e, T.StructType.fromJson(json.loads(e.layout)))
+            found = rows.groupBy(F.col(_PART).alias("part")).agg(*key_states(self.key))
+            row = found.select(F.lit(e.folder).alias("folder"), *found.columns)
+            row.coalesce(1).write.mode("append").parquet(path)
+        states = stored() if folders else self.spark.createDataFrame([], _STATES)
+        live = few_rows(self.spark, [(e.folder, e.parts) for e in entries], "folder string, parts array<bigint>")
+        live = live.select("folder", F.explode("parts").alias("part"))
+        # A digest that died half-way may have left the same states twice.
+        return digest_of_states(states.dropDuplicates(["folder", "part"]).join(live, ["folder", "part"]), name)
 
     def remove(self, values: list[int]) -> int:
         """Remove the rows whose first key column is in ``values``; only their ranges are rewritten.

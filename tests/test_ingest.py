@@ -37,6 +37,32 @@ def test_page_shapes(spark):
     assert ids("not json") == []
 
 
+EXACT = [
+    r'{"id":1,"a":1.10,"b":1234567890123456789012345.678901234567890,"c":"x 1.50 \" 2.5","d":[1.0,-0.00,1e5,12E-3,-7,0,10]}',
+    r'{"id":2,"s":"\u00015","t":"a\"\u00011.5","u":{"v":"\u0001"},"n":12345678901234567890123456789012345,"e":"\\","f":2.50}',
+    '{"id":3,"long":"' + "y 1.25 " * 100_000 + r'\"","z":9.90}',
+    '{"id":4,"x":"1.5"}',
+    "{}",
+]
+
+
+def test_records_keep_their_text(spark):
+    bodies = ['{"contacts":[' + ",".join(EXACT) + "]}", "[" + " , ".join(EXACT) + "]"]
+    rows = unwrap_pages(pages(spark, *bodies, '{"contacts":[{"id":1.}]}', '1.5 "a')).collect()
+    assert sorted((r.pos, r.raw) for r in rows) == sorted([*enumerate(EXACT)] * 2)
+
+
+def test_fields_keep_all_digits(spark):
+    text = ('{"id":1,"projected_revenue_high":9999999999999.10,"opportunity_title":"1.50","opportunity_notes":"\\u00012.50",'
+            '"stage":{"id":3,"x":1.10},"custom_fields":[{"id":1,"content":1234567890123456789012345.10}]}')
+    row = flatten(raws(spark, text), ENTITIES["opportunities"]).first()
+    assert (str(row.value), row.name, row.description, row.stage_id) == ("9999999999999.10", "1.50", "\u00012.50", 3)
+    assert row.custom_fields == '[{"id":1,"content":1234567890123456789012345.10}]'
+    broken = ['{"id":1.5.5}', '{"id":-,"a":"x 1.5 y"}', '{"id":1,"a":1.', "1.5"]
+    marked = with_reason(raws(spark, *broken), ENTITIES["opportunities"])
+    assert {r.reason for r in marked.collect()} == {"unparseable"}
+
+
 def test_pages_from_files(spark):
     folder = work_dir(spark, "pages")
     pages(spark, '{"tags":[{"id":1}]}', '[{"id":2}]').write.text(folder)

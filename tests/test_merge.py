@@ -6,8 +6,10 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from clientele.operators import files, merge
+from clientele.operators import files, merge, runs
+from clientele.operators.digest import table_digest
 from clientele.plans import load
+from clientele.plans.run_store import RunStore
 from clientele.plans.specs import ENTITIES, LOAD_ORDER
 from clientele.session import work_dir
 from clientele.sources.versions import VersionedTable
@@ -148,6 +150,79 @@ def test_folders_are_folded_together_and_empty_tables_work(spark):
     assert t.current().count() == 10 and len(t._live) <= 3
 
 
+def test_a_merge_brings_new_columns(spark):
+    path = work_dir(spark, "versions")
+    t = VersionedTable(spark, path, part_width=10)
+    t.replace(spark.sql("SELECT id, 'a' AS v, 1 AS n FROM range(30)"))
+    t.merge(spark.sql("SELECT id, 'b' AS v, id * 10 AS extra, 5 AS seq FROM VALUES (3L), (31L) AS t(id)"), ("seq",))
+    t.merge(spark.sql("SELECT 4L AS id, 'c' AS v, 2L AS n, 7L AS extra"))
+    t.merge(spark.sql("SELECT 0L AS id, 'x' AS v, 'later' AS note").filter("id = 1"))
+    now = VersionedTable(spark, path, part_width=10).current()
+    assert now.columns == ["id", "v", "n", "extra", "note"]
+    got = {r.id: tuple(r)[1:] for r in now.collect()}
+    assert len(got) == 31
+    assert (got[3], got[31]) == (("b", None, 30, None), ("b", None, 310, None))
+    assert (got[4], got[5], got[25]) == (("c", 2, 7, None), ("a", 1, None, None), ("a", 1, None, None))
+    # A value that does not fit the stored type ends the merge and leaves the version.
+    with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
+        t.merge(spark.sql("SELECT 4L AS id, 'd' AS v, 'many' AS n"))
+    assert VersionedTable(spark, path, part_width=10).version == 4
+
+
+def test_joining_folders_leaves_the_large_one(spark):
+    t = VersionedTable(spark, work_dir(spark, "versions"), part_width=10, max_folders=4)
+    t.replace(spark.range(1000).selectExpr("id", "'a' AS v"))
+    first = t._live[0].folder
+    for i in range(12):
+        t.merge(spark.range(i * 10, i * 10 + 2).selectExpr("id", f"'{i}' AS v"), tag=i)
+    assert len(t._live) <= 4 and first in {e.folder for e in t._live} and t.last_tag() == 11
+    parts = [p for e in t._live for p in e.parts]
+    assert sorted(parts) == list(range(100))
+    assert t.current().count() == 1000 and t.current().filter("v != 'a'").count() == 24
+
+
+def test_stored_digest_follows_every_change(spark):
+    def check():
+        again = VersionedTable(spark, path, key, part_width=10)
+        assert again.digest("t").first() == table_digest(again.current(), key, "t").first()
+
+    for key, pair in ((("id",), "id, id AS b"), (("a", "b"), "id AS a, id % 3 AS b")):
+        path = work_dir(spark, "versions")
+        t = VersionedTable(spark, path, key, part_width=10, max_folders=3)
+        assert t.digest("t").first().row_count == 0
+        t.replace(spark.range(0).selectExpr(*pair.split(", ")))
+        check()
+        t.merge(spark.range(100).selectExpr(*pair.split(", ")))
+        check()
+        for i in range(3):  # some keys replaced, some new; folders are joined on the way
+            t.merge(spark.range(i * 30, i * 30 + 15).selectExpr(*pair.split(", ")))
+            check()
+        t.remove([0, 5, 99])
+        check()
+        # Ranges that were not written again are not read again.
+        before = spark.read.parquet(f"{path}/digests").count()
+        t = VersionedTable(spark, path, key, part_width=10)
+        t.merge(spark.range(1).selectExpr(*pair.split(", ")))
+        check()
+        assert spark.read.parquet(f"{path}/digests").count() == before + 1
+
+
+def test_snapshots_are_kept_per_run(spark):
+    store = work_dir(spark, "store")
+    log = RunStore(spark, store)
+    assert log.snapshots().count() == 0
+    t = VersionedTable(spark, f"{store}/tags", part_width=10)
+    t.replace(spark.range(25).toDF("id"))
+    log.take_snapshot(1, {"tags": t})
+    t.merge(spark.range(20, 40).toDF("id"))
+    log.take_snapshot(2, {"tags": t})
+    log.take_snapshot(2, {"tags": t})
+    kept = log.snapshots()
+    assert [(r.run_id, r.row_count, r.id_max) for r in kept.orderBy("run_id").collect()] == [(1, 25, 24), (2, 40, 39)]
+    delta = runs.snapshot_delta(kept).first()
+    assert (delta.current_rows, delta.previous_rows, delta.delta) == (40, 25, 15)
+
+
 # --- loads -----------------------------------------------------------------------------
 
 
