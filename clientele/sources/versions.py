@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from clientele.operators.checks import union_all
 from clientele.operators.digest import digest_of_states, key_states
 from clientele.operators.merge import merge_rows
 from clientele.session import few_rows
@@ -191,11 +192,13 @@ class VersionedTable:
 
         # At most as many as the table has live folders.
         known = {r.folder for r in stored().select("folder").distinct().collect()} if folders else set()
+        fresh = []
         for e in [e for e in entries if e.folder not in known]:
             rows = self._rows_of(e, T.StructType.fromJson(json.loads(e.layout)))
             found = rows.groupBy(F.col(_PART).alias("part")).agg(*key_states(self.key))
-            row = found.select(F.lit(e.folder).alias("folder"), *found.columns)
-            row.coalesce(1).write.mode("append").parquet(path)
+            fresh.append(found.select(F.lit(e.folder).alias("folder"), *found.columns))
+        if fresh:
+            union_all(fresh).coalesce(1).write.mode("append").parquet(path)
         states = stored() if folders else self.spark.createDataFrame([], _STATES)
         live = few_rows(self.spark, [(e.folder, e.parts) for e in entries], "folder string, parts array<bigint>")
         live = live.select("folder", F.explode("parts").alias("part"))
