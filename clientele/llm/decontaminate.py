@@ -1,18 +1,20 @@
 """Benchmark decontamination: BM25 retrieval by block-max WAND, then verified overlap.
 
-The test items form an inverted index: a postings list per term, cut into blocks of items that know
+An item is its first sentence (question) and the rest (answer), or one part. Its longer part, the
+lead, stands in an inverted index: a postings list per term, cut into blocks of items that know
 their largest weight. Every document is cut into overlapping passages, at least as long as the
-longest item, and every passage is a query. The block maxima of a passage's terms are added up for
+longest lead, and every passage is a query. The block maxima of a passage's terms are added up for
 all passages at once; only where some block can reach the threshold does WAND walk the lists, and
-there again it skips what its bounds exclude. An item's threshold is what remains of its own score when
-the terms of a fifth of its shingles are lost, so every passage holding at least 0.8 of them is
-retrieved. Retrieved pairs are verified on the five-word shingles of the item's question and answer:
-both must be covered to ``SIMILARITY`` (an item is its first sentence and the rest, or one part).
+there again it skips what its bounds exclude. An item's threshold is what remains of its lead's score
+when the terms of a fifth of its shingles are lost, so every passage holding at least 0.8 of them is
+retrieved. Retrieved items are verified on five-word shingles: question and answer must each be
+covered to ``SIMILARITY`` by some passage of the text, not necessarily the same one.
 
-Items are indexed in shards of about ``SHARD_ITEMS`` items or ``SHARD_BYTES`` of text, the bound
-under which an index is broadcast; with more items the documents are scanned once per shard.
+An index holds at most about ``SHARD_ITEMS`` items or ``SHARD_BYTES`` of text; one function goes through
+the indexes of up to ``PASS_ITEMS`` items or ``PASS_BYTES``, the bound under which items are collected and
+broadcast. With more items the documents are read once per pass, and each pass is written before the next.
 
-Defined results: null and empty texts hold nothing; an item without words is never found; an item
+Defined results: null and empty texts hold nothing; an item without words is never found; a part
 of fewer than five words is one shingle; repeated items and repeated documents each get their own
 pairs; very long documents are scanned in whole, passage by passage; empty tables give no pairs.
 """
@@ -23,16 +25,19 @@ import math
 import re
 from bisect import bisect_left
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from clientele.llm.staging import saved
+
 WORDS, SIMILARITY = 5, 0.8
 K1, B, POSTINGS_BLOCK = 1.2, 0.75, 4
 SHARD_ITEMS, SHARD_BYTES = 512, 1 << 20
+PASS_ITEMS, PASS_BYTES = 8192, 16 << 20
 TOKEN = re.compile(r"\w+")
 #: Thresholds are scaled to 1; single precision sums may fall short of it by so much.
 ENOUGH = 1 - 1e-4
@@ -51,14 +56,15 @@ def parts(text: str) -> tuple[list[str], list[str]]:
 
 
 class ItemIndex:
-    """Inverted index over test items with weights relative to each item's threshold."""
+    """Inverted index over the leads of test items, with weights relative to each item's threshold."""
 
     def __init__(self, items: list[tuple[int, str]]):
         self.items = []
         for item_id, text in items:
-            words = TOKEN.findall((text or "").lower())
-            if words:
-                self.items.append((item_id, words, *map(shingles, parts(text))))
+            question, answer = parts(text or "")
+            lead = question if len(question) >= len(answer) else answer
+            if lead:
+                self.items.append((item_id, lead, shingles(question), shingles(answer)))
         n = len(self.items)
         frequency = Counter(w for _, words, _, _ in self.items for w in set(words))
         self.idf = {w: math.log(1 + (n - f + 0.5) / (f + 0.5)) for w, f in frequency.items()}
@@ -144,7 +150,7 @@ class ItemIndex:
         numbers = np.array([get(w, unknown) for w in words], np.int64)
         # A passage is two steps long and one begins at every step, so that any stretch of one
         # step lies within a passage. Its bound adds those of its two steps.
-        step, best = self.longest, {}
+        step, found = self.longest, {}
         places = np.flatnonzero(numbers < unknown)
         if not len(places):
             return []
@@ -155,55 +161,71 @@ class ItemIndex:
         bounds[steps[first]] = np.add.reduceat(self.maxima[terms], first, axis=0)
         for k in np.flatnonzero(((bounds[:-1] + bounds[1:]) >= ENOUGH).any(axis=1)):
             passage = words[k * step : (k + 2) * step]
-            held = None
             for item, score in self.retrieve([w for w in dict.fromkeys(passage) if w in self.lists]):
-                _, _, question, answer = self.items[item]
-                held = held if held is not None else self._shingles(passage)
-                q, a = (len(x & held) / len(x) if x else 1.0 for x in (question, answer))
-                if q >= SIMILARITY and a >= SIMILARITY and (item not in best or best[item][0] < score):
-                    best[item] = (score, q, a)
-        return [(self.items[k][0], *v) for k, v in sorted(best.items(), key=lambda x: self.items[x[0]][0])]
-
-    def _shingles(self, words: list[str]) -> set[tuple[str, ...]]:
-        held = shingles(words)
-        for short in self.short_lengths():
-            held |= {tuple(words[i : i + short]) for i in range(len(words) - short + 1)}
-        return held
-
-    def short_lengths(self) -> list[int]:
-        """Lengths of parts that have fewer words than a shingle."""
-        if not hasattr(self, "_short"):
-            sizes = {len(s) for _, _, q, a in self.items for part in (q, a) for s in part}
-            self._short = sorted(sizes - {WORDS})
-        return self._short
+                found[item] = max(score, found.get(item, score))
+        held = self.covers(words, found)
+        return sorted(
+            (self.items[k][0], score, *held[k]) for k, score in found.items() if min(held[k]) >= SIMILARITY
+        )
+
+    def covers(self, words: list[str], found: Iterable[int]) -> dict[int, tuple[float, float]]:
+        """For the items ``found``: the best cover of question and of answer by a passage of ``words``."""
+        wanted = {s for k in found for part in self.items[k][2:] for s in part}
+        passages: dict[tuple[str, ...], set[int]] = {}
+        for size in {len(s) for s in wanted}:
+            for i in range(len(words) - size + 1):
+                shingle = tuple(words[i : i + size])
+                if shingle in wanted:
+                    # It lies in the passage that begins with its step, and in the one before if it ends there.
+                    k = i // self.longest
+                    inside = (k - 1, k) if k and i + size <= (k + 1) * self.longest else (k,)
+                    passages.setdefault(shingle, set()).update(inside)
+
+        def cover(part: set[tuple[str, ...]]) -> float:
+            hits = Counter(k for s in part for k in passages.get(s, ()))
+            return max(hits.values(), default=0) / len(part) if part else 1.0
+
+        return {k: (cover(self.items[k][2]), cover(self.items[k][3])) for k in found}
 
 
 def with_leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """``docs`` packed as ``row``, with ``leaks``: the test items that each text holds."""
-    spark = docs.sparkSession
     items = benchmark.select("item_id", "text").where("text IS NOT NULL")
     count, size = items.agg(F.count("*"), F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()
-    shards = 1 + max(count // SHARD_ITEMS, size // SHARD_BYTES)
-    out = docs.select(F.struct("*").alias("row"), F.col("text").alias("text")).withColumn(
-        "leaks", F.array().cast(FOUND)
-    )
-    for k in range(shards):
-        shard = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(shards)) == k)
-        out = out.withColumn("leaks", F.concat("leaks", _search(shard)(F.col("text"))))
-    return out.select("row", "leaks")
-
-
-def _search(shard: DataFrame):
-    """A vectorised function from texts to the items of ``shard`` that they hold."""
-    rows = [tuple(r) for r in shard.orderBy("item_id", "text").collect()]
-    items = shard.sparkSession.sparkContext.broadcast(rows)
+    passes = 1 + max(count // PASS_ITEMS, size // PASS_BYTES)
+    out = docs.select(F.struct("*").alias("row"), F.array().cast(FOUND).alias("leaks"))
+    for k in range(passes):
+        some = items.where(F.pmod(F.xxhash64("item_id", "text"), F.lit(passes)) == k)
+        out = out.withColumn("leaks", F.concat("leaks", _search(some)(F.col("row.text"))))
+        if k + 1 < passes:
+            out = saved(out, "leaks")
+    return out
+
+
+def shards(items: list[tuple[int, str]]) -> Iterator[list[tuple[int, str]]]:
+    """``items`` in lists of at most SHARD_ITEMS items and, but for a longer item, SHARD_BYTES characters."""
+    shard, size = [], 0
+    for item in items:
+        if shard and (len(shard) == SHARD_ITEMS or size + len(item[1]) > SHARD_BYTES):
+            yield shard
+            shard, size = [], 0
+        shard.append(item)
+        size += len(item[1])
+    if shard:
+        yield shard
+
+
+def _search(some: DataFrame):
+    """A vectorised function from texts to the items of ``some``, one pass, that they hold."""
+    rows = [tuple(r) for r in some.orderBy("item_id", "text").collect()]
+    items = some.sparkSession.sparkContext.broadcast(rows)
 
     @F.pandas_udf(FOUND)
     def find(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        index = ItemIndex(items.value)
+        indexes = [ItemIndex(shard) for shard in shards(items.value)]
         names = ("item_id", "bm25", "question", "answer")
         for texts in batches:
-            yield pd.Series([[dict(zip(names, x)) for x in index.find(t)] if t else [] for t in texts])
+            yield pd.Series([[dict(zip(names, x)) for i in indexes for x in i.find(t)] if t else [] for t in texts])
 
     return find
 

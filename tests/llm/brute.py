@@ -148,3 +148,32 @@ def secret_row(text):
     joined = ",".join(f"{kind}:{a}:{b}" for a, _, kind, b in sorted(spans))
     counts = tuple(sum(s[2] == kind for s in spans) for kind in SECRETS)
     return (*counts, hashlib.sha256(joined.encode()).hexdigest())
+
+
+def leaks(docs, items):
+    """(doc_id, item_id) of items whose two parts are each covered to 0.8 by some passage of the text."""
+
+    def shingles(words):
+        return {tuple(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+    split = []
+    for item_id, text in items:
+        question, _, answer = re.sub(r"\n|[.?!]\s", "\0", text or "", count=1).partition("\0")
+        both = [re.findall(r"\w+", part.lower()) for part in (question, answer)]
+        if any(both):
+            split.append((item_id, both))
+    step = max((len(part) for _, both in split for part in both), default=1)
+    out = []
+    for doc_id, text in docs:
+        words = re.findall(r"\w+", (text or "").lower())
+        passages = [words[i : i + 2 * step] for i in range(0, len(words), step)]
+        for item_id, both in split:
+            held = []
+            for part in both:
+                wanted = shingles(part)
+                size = min(5, len(part))
+                runs = [{tuple(p[i : i + size]) for i in range(len(p) - size + 1)} for p in passages] if part else [set()]
+                held.append(max((len(wanted & r) / max(1, len(wanted)) for r in runs), default=0) if part else 1)
+            if words and min(held) >= 0.8:
+                out.append((doc_id, item_id))
+    return sorted(out)

@@ -181,13 +181,50 @@ def test_bag_minhash_is_unbiased():
 
 
 def test_leaks_equal_brute_force(spark):
-    items = [(i, words(100 + i, 12 + i) + ". " + words(200 + i, 20)) for i in range(30)]
-    docs = [(i, words(300 + i, 200) + " " + items[i][1] + " " + words(400 + i, 50)) for i in range(0, 30, 3)]
-    docs += [(100 + i, words(500 + i, 400)) for i in range(10)]
+    # Texts are fragments of items, edited or apart, between other words.
+    dice = random.Random(9)
+    items = [(i, words(100 + i, 12 + i % 9) + (". " + words(200 + i, dice.choice([2, 6, 20])) if i % 5 else "")) for i in range(30)]
+    items += [(30, None), (31, ""), (32, "?! ."), (33, items[3][1])]
+    docs = [(900, None), (901, "")]
+    for k in range(120):
+        pieces = [words(300 + k, dice.randrange(0, 90))]
+        for i in dice.sample(range(30), 3):
+            for part in items[i][1].split(". "):
+                part = part.split()
+                for _ in range(dice.randrange(0, 3)):
+                    part[dice.randrange(len(part))] = "zzz"
+                pieces += [" ".join(part), words(dice.randrange(10**6), dice.choice([0, 3, 50, 150]))]
+        docs.append((k, " ".join(pieces)))
     got = decontaminate.leaked_pairs(
         spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
     )
-    assert {(r.doc_id, r.item_id) for r in got.collect()} == {(i, i) for i in range(0, 30, 3)}
+    want = brute.leaks(docs, items)
+    assert 50 < len(want) < 360
+    assert sorted((r.doc_id, r.item_id) for r in got.collect()) == want
+
+
+def test_question_and_answer_may_lie_apart():
+    question, answer = words(700, 22), words(701, 18)
+    index = decontaminate.ItemIndex([(1, f"{question}. {answer}"), (2, words(702, 40))])
+    for gap in (0, 10, 30, 60, 100, 500, 1000):
+        for before in (0, 7, 20, 33):
+            text = " ".join([words(703, before), question, words(704, gap), answer, words(705, 9)])
+            assert [x[0] for x in index.find(text)] == [1]
+            assert [x[0] for x in index.find(" ".join([answer, words(704, gap), question]))] == [1]
+    assert index.find(f"{question} {words(704, 60)}") == index.find(f"{answer} {words(704, 60)}") == []
+
+
+def test_many_items_need_one_function_a_pass(spark, monkeypatch):
+    items = [(i, words(10_000 + i, 12)) for i in range(5000)]
+    docs = spark.createDataFrame([(i, f"x y {items[i][1]} z") for i in range(0, 5000, 500)], "doc_id bigint, text string")
+    benchmark = spark.createDataFrame(items, "item_id bigint, text string")
+    found = decontaminate.with_leaks(docs, benchmark)
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("ArrowEvalPython") == 1 and plan.count("find(") <= 2
+    want = sorted((i, i) for i in range(0, 5000, 500))
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.leaked_pairs(docs, benchmark).collect()) == want
+    monkeypatch.setattr(decontaminate, "PASS_ITEMS", 2000)
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.leaked_pairs(docs, benchmark).collect()) == want
 
 
 def test_automaton_agrees_with_edit_distance():
