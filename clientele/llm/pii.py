@@ -3,12 +3,15 @@
 Generators propose spans of high recall, which may overlap: four base patterns, whose valid matches
 always stay, and looser ones (addresses spelled with "at" and "dot", telephone numbers without a
 plus sign, spaced or dotted card numbers). Boosted trees score every candidate from its format and
-context; a threshold per kind, calibrated on held-out candidates, selects what is added.
+context; a threshold per kind, calibrated on the loose candidates alone, selects what is added.
 
-The trees are fitted on the candidates of at most ``SAMPLE`` distinct texts (those with the smallest
-hashes among texts that may have any), grouped by equal features before they leave the executors. Labels come
-from rules: a base match is right if it is valid, a loose one if a word naming its kind stands
-before it.
+Texts fall into two halves by their hash. Each half has trees of its own, and the loose candidates of a
+text are scored by the trees of the other half, which have not seen it. So the thresholds are calibrated on
+every loose candidate of every document, however rare its kind; base matches, which stay anyway, have no part in them.
+The trees grow from the loose candidates of all documents and the base ones of at most ``SAMPLE`` distinct
+texts (those with the smallest hashes among texts that may have any), grouped by equal features; of more than
+``FIT_ROWS`` such rows those with the smallest hashes are used. Labels come from rules: a base match is right
+if it is valid, a loose one if a word naming its kind stands before it.
 
 Positions are code points. They follow from the lengths of matches and of the pieces between them,
 so a text is scanned twice per pattern whatever the number of matches. Patterns use possessive
@@ -26,6 +29,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from clientele.llm.boosting import BoostedTrees, calibrated
+from clientele.llm.staging import saved
 
 KINDS = ("email", "ip", "card", "phone")
 #: The base patterns, with atomic repetition. A match begins where its run of
@@ -51,7 +55,9 @@ CUES = {
     "phone": r"(?i)\b(tel|phone|telephone|telefon|fax|call|mobile|cell|whatsapp|teléfono|téléphone)\b",
 }
 MASKS = {kind: f"[{kind.upper()}]" for kind in KINDS}
-SAMPLE, CONTEXT, PRECISION, BLOCK = 4000, 24, 0.95, 256
+SAMPLE, FIT_ROWS, CONTEXT, PRECISION, BLOCK = 4000, 20_000, 24, 0.95, 256
+#: Scores are told apart in so many steps when thresholds are chosen.
+STEPS = 1000
 
 
 def sums(values: Column) -> Column:
@@ -150,10 +156,14 @@ def _found(kind: str, pattern: str) -> tuple[Column, Column]:
     return F.when(there, matches).otherwise(none), F.split("text", pattern, -1)
 
 
-def with_candidates(docs: DataFrame) -> DataFrame:
-    """``docs`` packed as ``row`` with text and one array of candidates per pattern."""
+def half_of(text: str) -> Column:
+    return F.pmod(F.xxhash64(text), F.lit(2)).cast("int")
+
+
+def with_candidates(docs: DataFrame, sources: tuple[bool, ...] = (False, True)) -> DataFrame:
+    """``docs`` packed as ``row`` with text and the candidates of base (False) and loose (True) patterns."""
     out = docs.select(F.struct("*").alias("row"), F.coalesce(F.col("text"), F.lit("")).alias("text"))
-    patterns = [(kind, loose, source[kind]) for loose, source in ((False, BASE), (True, LOOSE)) for kind in KINDS]
+    patterns = [(kind, loose, source[kind]) for loose, source in ((False, BASE), (True, LOOSE)) if loose in sources for kind in KINDS]
     names = [f"{kind}_{int(loose)}" for kind, loose, _ in patterns]
     out = out.select("*", *[_found(k, p)[0].alias(f"found_{n}") for n, (k, _, p) in zip(names, patterns)])
     some = lambda n, col, kind: F.when(F.size(f"found_{n}") > 0, col).otherwise(F.array().cast(kind))
@@ -189,9 +199,16 @@ def with_candidates(docs: DataFrame) -> DataFrame:
 
 
 class PiiModel:
-    def __init__(self, trees: BoostedTrees, thresholds: dict[int, float]):
+    """Trees per half of the texts, and per kind the least score of a loose candidate that is added."""
+
+    def __init__(self, trees: tuple[BoostedTrees, BoostedTrees], thresholds: dict[int, float]):
         self.trees, self.thresholds = trees, thresholds
 
+    def score(self, half: Column, f: Column) -> Column:
+        """The score of a candidate with features ``f``, by the trees that have not seen its text's half."""
+        first, second = (t.column(lambda i: f[i]) for t in self.trees)
+        return F.when(half == 0, second).otherwise(first)
+
 
 def sampled(docs: DataFrame, sample: int) -> DataFrame:
     """At most ``sample`` distinct texts that may hold personal data: those with the smallest hashes.
@@ -199,7 +216,7 @@ def sampled(docs: DataFrame, sample: int) -> DataFrame:
     The number of hashes tells the share of their range that holds a little more than the sample, so
     no other text is moved; equal texts meet as one row per map task, then as one.
     """
-    texts = docs.where(F.col("text").rlike("@|[0-9]{3}")).select("text", F.xxhash64("text").alias("hash"))
+    texts = docs.where(F.col("text").rlike("@|[0-9]")).select("text", F.xxhash64("text").alias("hash"))
     known = texts.agg(F.approx_count_distinct("hash", 0.02)).first()[0]
     bound = int(2**64 * min(1.0, (1.2 * sample + 100) / max(known, 1))) - 2**63 - 1
     few = texts.where(F.col("hash") <= bound).groupBy("hash").agg(F.min("text").alias("text"))
@@ -207,33 +224,35 @@ def sampled(docs: DataFrame, sample: int) -> DataFrame:
     return few.where(F.col("hash") <= F.lit(bound).cast("bigint")).select("text")
 
 
-def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION) -> PiiModel:
-    """Trees and thresholds from the candidates of at most ``sample`` distinct texts."""
-    chosen = sampled(docs, sample)
-    rows = (
-        with_candidates(chosen)
+def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION, fit_rows: int = FIT_ROWS) -> PiiModel:
+    """Trees from a bounded number of feature rows, thresholds from every loose candidate of ``docs``."""
+
+    def grouped(some: DataFrame, sources: tuple[bool, ...]) -> DataFrame:
         # The outer form: for the inner one Catalyst filters by the array's size, and computes the array
         # for that a second time, in one expression without the stages of ``with_candidates``.
-        .select(F.explode_outer("made").alias("c"))
-        .where("c IS NOT NULL")
-        .select("c.f", "c.label", (F.pmod(F.xxhash64("c.f", "c.start"), F.lit(2)) == 0).alias("held"))
-        .groupBy("f", "label", "held")
-        .agg(F.count("*").alias("n"))
-        .orderBy(F.desc("n"), "f", "label", "held")
-        .limit(20_000)
-        .collect()
-    )
-    learn = [r for r in rows if not r.held]
-    trees = BoostedTrees.fit([r.f for r in learn], [r.label for r in learn], [r.n for r in learn])
-    thresholds = {}
-    for kind in range(len(KINDS)):
-        held = [r for r in rows if r.held and r.f[0] == kind]
-        thresholds[kind] = 2.0
-        if held:
-            scores = trees.scores(np.array([r.f for r in held]))
-            labels, n = np.array([r.label for r in held], float), np.array([r.n for r in held], float)
-            thresholds[kind] = calibrated(scores, labels, n, precision)
-    return PiiModel(trees, thresholds)
+        rows = with_candidates(some, sources).select(half_of("text").alias("half"), F.explode_outer("made").alias("c"))
+        rows = rows.where("c IS NOT NULL").select("half", "c.f", "c.label")
+        return rows.groupBy("half", "f", "label").agg(F.count("*").alias("n"))
+
+    loose = grouped(docs.select("text"), (True,))
+    rows = saved(loose.unionByName(grouped(sampled(docs, sample), (False,))), "pii_candidates")
+    known = max(1, rows.count())
+    bound = int(2**64 * min(1.0, fit_rows / known)) - 2**63 - 1
+    learn = rows.where(F.xxhash64("f", "label", "half") <= F.lit(bound).cast("bigint")).collect()
+    learn.sort(key=lambda r: (r.half, r.f, r.label))
+    trees = []
+    for half in (0, 1):
+        own = [r for r in learn if r.half == half]
+        trees.append(BoostedTrees.fit([r.f for r in own], [r.label for r in own], [r.n for r in own]))
+    model = PiiModel(tuple(trees), dict.fromkeys(range(len(KINDS)), 2.0))
+    step = F.floor(model.score(F.col("half"), F.col("f")) * STEPS).cast("int")
+    held = rows.where(F.col("f")[1] == 1).select(F.col("f")[0].alias("kind"), step.alias("step"), "label", "n")
+    # At most one row per kind, step and label.
+    held = held.groupBy("kind", "step", "label").agg(F.sum("n").alias("n")).collect()
+    for kind in {r.kind for r in held}:
+        steps, labels, n = np.array([(r.step, r.label, r.n) for r in held if r.kind == kind], float).T
+        model.thresholds[kind] = calibrated(steps / STEPS, labels, n, precision)
+    return model
 
 
 def with_spans(docs: DataFrame, model: PiiModel | None = None) -> DataFrame:
@@ -244,7 +263,9 @@ def with_spans(docs: DataFrame, model: PiiModel | None = None) -> DataFrame:
         limit = F.lit(2.0)
         for kind, threshold in model.thresholds.items():
             limit = F.when(c["kind"] == kind, F.lit(threshold)).otherwise(limit)
-        return ~c["base"] & (c["f"][1] == 1) & (model.trees.column(lambda i: c["f"][i]) >= limit)
+        # Steps, as in calibration, so that a score on the threshold's step is above it here too.
+        step = F.floor(model.score(half_of("text"), c["f"]) * STEPS)
+        return ~c["base"] & (c["f"][1] == 1) & (step >= F.round(limit * STEPS))
 
     def plain(c: Column) -> Column:
         return F.struct(c["kind"].alias("kind"), c["start"].alias("start"), c["end"].alias("end"))

@@ -87,6 +87,34 @@ def test_pii_sample_holds_the_smallest_hashes_once(spark):
         assert sorted(pii.sampled(docs, size).collect()) == sorted(expected)
 
 
+def added(spark, texts):
+    """Per text the spans that the method adds to the base ones, with a model of all texts."""
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string")
+    spanned = pii.with_spans(docs).select("row.doc_id", F.array_except("spans", "base").alias("more"))
+    return {r.doc_id: [texts[r.doc_id][s.start : s.end] for s in r.more] for r in spanned.where("size(more) > 0").collect()}
+
+
+def spelled(k):
+    return f"ann{k} [at] host{k}x [dot] org"
+
+
+def test_loose_only_table_adds_what_has_a_cue(spark):
+    texts = [f"please mail {spelled(k)} soon" if k % 2 else f"see {spelled(k)} there" for k in range(600)]
+    assert added(spark, texts) == {k: [spelled(k)] for k in range(1, 600, 2)}
+
+
+def test_rare_loose_spans_are_added(spark):
+    texts = [f"note {k} of user{k}@example.com on day {k % 300}" for k in range(20_000)]
+    texts[7000] = f"please mail {spelled(1)} soon"
+    texts[15_000] = f"please contact {spelled(2)} soon"
+    assert added(spark, texts) == {7000: [spelled(1)], 15_000: [spelled(2)]}
+
+
+def test_base_matches_do_not_carry_wrong_loose_ones(spark):
+    texts = [f"mail user{k}@example.com" for k in range(4000)] + [f"see {spelled(k)} there" for k in range(150)]
+    assert added(spark, texts) == {}
+
+
 def test_class_probabilities_add_up(spark):
     docs = spark.createDataFrame([(words(3, 500),), (words(4, 500),)], "text string")
     logs = ngram_quality.log_probabilities(ngram_quality.count_grams(docs))
