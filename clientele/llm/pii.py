@@ -56,8 +56,8 @@ CUES = {
 }
 MASKS = {kind: f"[{kind.upper()}]" for kind in KINDS}
 SAMPLE, FIT_ROWS, CONTEXT, PRECISION, BLOCK = 4000, 20_000, 24, 0.95, 256
-#: Scores are told apart in so many steps when thresholds are chosen.
-STEPS = 1000
+#: Scores are told apart in so many steps when thresholds are chosen; each half has so many trees at most.
+STEPS, ROUNDS = 1000, 15
 
 
 def sums(values: Column) -> Column:
@@ -243,7 +243,7 @@ def fit(docs: DataFrame, sample: int = SAMPLE, precision: float = PRECISION, fit
     trees = []
     for half in (0, 1):
         own = [r for r in learn if r.half == half]
-        trees.append(BoostedTrees.fit([r.f for r in own], [r.label for r in own], [r.n for r in own]))
+        trees.append(BoostedTrees.fit([r.f for r in own], [r.label for r in own], [r.n for r in own], rounds=ROUNDS))
     model = PiiModel(tuple(trees), dict.fromkeys(range(len(KINDS)), 2.0))
     step = F.floor(model.score(F.col("half"), F.col("f")) * STEPS).cast("int")
     held = rows.where(F.col("f")[1] == 1).select(F.col("f")[0].alias("kind"), step.alias("step"), "label", "n")
