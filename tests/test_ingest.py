@@ -58,6 +58,24 @@ def test_fields_keep_all_digits(spark):
     row = flatten(raws(spark, text), ENTITIES["opportunities"]).first()
     assert (str(row.value), row.name, row.description, row.stage_id) == ("9999999999999.10", "1.50", "\u00012.50", 3)
     assert row.custom_fields == '[{"id":1,"content":1234567890123456789012345.10}]'
+
+
+def test_typing_is_compiled(spark):
+    """A generated method of more than 8,000 bytes is never compiled by the JVM and runs interpreted."""
+    for entity in ENTITIES.values():
+        rows = with_reason(raws(spark, {"id": 1}), entity, unread=True)
+        parts = spark._jvm.scala.jdk.javaapi.CollectionConverters.asJava(rows._jdf.queryExecution().debug().codegenToSeq())
+        assert all(part._3().maxMethodCodeSize() <= 8000 for part in parts), entity.name
+
+
+def test_marks_of_every_kind_go(spark):
+    text = ('{"id":1,"projected_revenue_high":-0,"opportunity_title":"\\u0001\\u00017","opportunity_notes":"a \\\\u00012.5 b",'
+            '"custom_fields":{"a":"\\u00011","b":[1e2,-0,2.50,"3.10"]},"status":"1e5"}')
+    row = flatten(raws(spark, text), ENTITIES["opportunities"]).first()
+    assert (row.value, row.name, row.description, row.status) == (0, "\x01\x017", "a \\u00012.5 b", "1e5")
+    assert row.custom_fields == '{"a":"\\u00011","b":[1e2,-0,2.50,"3.10"]}'
+    whole = flatten(raws(spark, '{"id":2,"projected_revenue_high":3e2}', '{"id":3}'), ENTITIES["opportunities"])
+    assert [(r.id, None if r.value is None else float(r.value)) for r in whole.orderBy("id").collect()] == [(2, 300.0), (3, None)]
     broken = ['{"id":1.5.5}', '{"id":-,"a":"x 1.5 y"}', '{"id":1,"a":1.', "1.5"]
     marked = with_reason(raws(spark, *broken), ENTITIES["opportunities"])
     assert {r.reason for r in marked.collect()} == {"unparseable"}
