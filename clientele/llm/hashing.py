@@ -14,6 +14,16 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def mix_in_place(x: np.ndarray) -> np.ndarray:
+    """``mix`` that overwrites a large array, with room for one more of its size."""
+    shifted = np.empty_like(x)
+    for shift, factor in ((30, 0xBF58476D1CE4E5B9), (27, 0x94D049BB133111EB), (31, None)):
+        x ^= np.right_shift(x, np.uint64(shift), out=shifted)
+        if factor:
+            x *= np.uint64(factor)
+    return x
+
+
 BYTES = mix(np.arange(1, 257, dtype=np.uint64) * P)
 _up = np.ones(1, np.uint64)
 _down = np.ones(1, np.uint64)
@@ -25,8 +35,10 @@ def powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     if len(_up) < n:
         size = max(n, 1 << 16)
         inverse = np.uint64(pow(int(P), -1, 1 << 64))
-        _up = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, P)]), dtype=np.uint64)
-        _down = np.cumprod(np.concatenate([[np.uint64(1)], np.full(size - 1, inverse)]), dtype=np.uint64)
+        _up, _down = np.full(size, P), np.full(size, inverse)
+        for table in (_up, _down):
+            table[0] = 1
+            np.cumprod(table, out=table)
     return _up[:n], _down[:n]
 
 

@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from clientele.llm.hashing import BYTES, P, mix, powers
+from clientele.llm.hashing import BYTES, P, mix, mix_in_place, powers
 
 LENGTH, GRAM, BUCKET_BYTES = 50, 24, 6 << 20
 LAST = 2**63 - 1
@@ -74,23 +74,37 @@ class Bucket:
         self.low = self.high = self.owner = empty
         self.gram = self.context = np.zeros(0, np.uint64)
         up, self.down = powers(n + 1)
-        self.sums = np.concatenate([[np.uint64(0)], np.cumsum(BYTES[self.data[:n]] * up[:n], dtype=np.uint64)])
+        # Arrays as long as the bucket are worked on in place: several tasks of an executor hold theirs at once.
+        self.sums = np.zeros(n + 1, np.uint64)
+        inner = self.sums[1:]
+        np.take(BYTES, self.data[:n], out=inner, mode="clip")
+        inner *= up[:n]
+        np.cumsum(inner, out=inner)
         if n < LENGTH:
             return
         words = np.ndarray((n - GRAM + 1 + 16,), np.uint64, self.data.tobytes() + bytes(8), strides=(1,))
-        grams = words[:-16] * MULTIPLIERS[0] + words[8:-8] * MULTIPLIERS[1] + words[16:] * MULTIPLIERS[2]
-        grams = mix(grams)
-        least = (grams & ~PLACE) | np.arange(len(grams), dtype=np.uint64)
+        grams, term = words[:-16] * MULTIPLIERS[0], words[8:-8] * MULTIPLIERS[1]
+        grams += term
+        grams += np.multiply(words[16:], MULTIPLIERS[2], out=term)
+        del words, term
+        grams = mix_in_place(grams)
+        least = grams & ~PLACE
+        least |= np.arange(len(grams), dtype=np.uint64)
         span, width = LENGTH - GRAM + 1, 1
         while 2 * width <= span:
             least = np.minimum(least[:-width], least[width:])
             width *= 2
         least = np.minimum(least[: len(least) - (span - width)], least[span - width :])
-        limit = np.repeat(self.ends, self.sizes)
-        places = np.flatnonzero(np.arange(n) + LENGTH <= limit)
+        fits = np.ones(n, bool)
+        for size, end in zip(self.sizes, self.ends):
+            fits[end - min(size, LENGTH - 1) : end] = False
+        places = np.flatnonzero(fits)
         if not len(places):
             return
-        chosen = (least[places] & PLACE).astype(np.int64)
+        chosen = least[places]
+        chosen &= PLACE
+        chosen = chosen.view(np.int64)
+        del least
         begins = np.flatnonzero(np.concatenate([[True], chosen[1:] != chosen[:-1]]))
         lasts = np.append(begins[1:], len(places)) - 1
         self.low, self.high = places[begins], places[lasts]
@@ -196,7 +210,8 @@ class Rounds:
     def result(self) -> pa.Table:
         b = self.bucket
         n = len(b.data) - LENGTH
-        cover = np.zeros(n + LENGTH + 1, np.int64)
+        cover = np.zeros(n + LENGTH + 1, np.int32)
+        b.sums = None  # the strings are hashed
         if self.past:
             done = self.rows[self.whole]
             np.add.at(cover, b.low[done], 1)
@@ -206,14 +221,13 @@ class Rounds:
             places = self.places[self.known | answers[self.string_entry]]
             np.add.at(cover, places, 1)
             np.add.at(cover, places + LENGTH, -1)
-        gone = np.cumsum(cover)[:n] > 0
+        gone = np.cumsum(cover, dtype=np.int32, out=cover)[:n] > 0
         starts = np.concatenate([[0], b.ends[:-1]])
         opens = gone & ~np.concatenate([[False], gone[:-1]])
         opens[starts[b.sizes > 0]] = gone[starts[b.sizes > 0]]
-        removed = np.concatenate([[0], np.cumsum(gone)])
-        spans = np.concatenate([[0], np.cumsum(opens)])
+        removed, spans = ([np.count_nonzero(x[s:e]) for s, e in zip(starts, b.ends)] for x in (gone, opens))
         kept = [hashlib.sha256(b.data[s:e][~gone[s:e]].tobytes()).hexdigest() for s, e in zip(starts, b.ends)]
-        columns = [b.ids, b.sizes, removed[b.ends] - removed[starts], spans[b.ends] - spans[starts], kept]
+        columns = [b.ids, b.sizes, removed, spans, kept]
         kinds = [pa.int64()] * 4 + [pa.string()]
         return pa.Table.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], [x.split()[0] for x in RESULT.split(", ")])
 

@@ -2,6 +2,7 @@
 
 import hashlib
 import random
+import tracemalloc
 
 import numpy as np
 import pyarrow as pa
@@ -141,6 +142,19 @@ def test_odd_rows_pass_every_operator(spark, odd):
     assert sorted(tuple(r)[1:] for r in substrings.remove_repeats(odd).collect()) == want
 
 
+def test_a_bucket_takes_few_times_its_bytes():
+    """Several tasks of an executor hold a bucket each; the arrays of one stay below 50 bytes for every byte."""
+    text = np.random.default_rng(1).integers(0, 255, 2 << 20, dtype=np.uint8).tobytes()
+    columns = {"bucket": pa.array([0], pa.int32()), "doc_id": pa.array([1]), "at": pa.array([1]), "text": pa.array([text])}
+    substrings.powers(len(text) + 1)
+    tracemalloc.start()
+    try:
+        substrings.Bucket(pa.table(columns))
+        assert tracemalloc.get_traced_memory()[1] < 50 * len(text)
+    finally:
+        tracemalloc.stop()
+
+
 def test_empty_tables(spark, odd):
     none = odd.limit(0)
     labels = spark.createDataFrame([], "doc_id bigint, quality int, toxic int")
