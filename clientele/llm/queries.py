@@ -117,7 +117,7 @@ def trusted_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @query("op10_quality")
 def op10_quality(spark, sf_dir):
-    judged = ngram_quality.judge_quality(table(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir))
+    judged = ngram_quality.judge_quality(table(spark, sf_dir, "documents"), trusted_ids(spark, sf_dir), rows=False)
     return judged.select("doc_id", "lang", "perplexity", "threshold", "keep")
 
 
