@@ -40,8 +40,9 @@ CLASSES, ORDER = 0x110000, 4
 QUANTILE, PRIOR = 0.999, 100
 #: Room above the quantile, as clean documents differ more than the trusted ones among them.
 MARGIN = 1.1
-#: Characters of a chunk, of what is worked on at once, and grams that a task holds before it sends them.
-CHUNK, SLICE, HELD = 1 << 24, 1 << 18, 1 << 21
+#: Characters of a chunk, of what is worked on at once, grams that wait to be counted, and distinct grams that
+#: a task holds before it sends them.
+CHUNK, SLICE, WAITING, HELD = 1 << 24, 1 << 18, 1 << 19, 1 << 21
 LEAD = "\n" * (ORDER - 1)
 #: The characters of a gram are numbered within a task; four numbers fill 64 bits.
 NUMBERS = 1 << 16
@@ -122,7 +123,7 @@ class Tally:
         found = keys(self.number[points], np.array([len(p) for p in parts]), NUMBERS)
         self.waiting.setdefault(chunk, []).append(found)
         self.n_waiting += len(found)
-        if self.n_waiting >= HELD:
+        if self.n_waiting >= WAITING:
             self.fold()
             if sum(len(grams) for grams, _ in self.counted.values()) >= HELD:
                 yield from self.take()
@@ -270,18 +271,19 @@ class Chunk:
                 break
             self.base += 2
 
-    def losses(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """Summed negative log probability and length of each text."""
-        loss = np.zeros(len(texts))
+    def losses(self, texts: Iterable[str], n: int) -> tuple[np.ndarray, np.ndarray]:
+        """Summed negative log probability and length of each of n texts, which need not be held together."""
+        loss, length = np.zeros(n), np.zeros(n, np.int64)
         for owners, parts in groups(enumerate(texts)):
             sizes = np.array([len(p) for p in parts])
+            np.add.at(length, owners, sizes - ORDER + 1)
             found = keys(self.number[code_points("".join(parts))], sizes, self.base)
             at = self.places.get_indexer(found)
             if len(at) and at.min() < 0:
                 raise ValueError("a text has grams that were not gathered for its chunk")
             starts = np.cumsum(sizes - ORDER + 1) - (sizes - ORDER + 1)
             np.subtract.at(loss, owners, np.add.reduceat(self.logs[at], starts))
-        return loss, np.array([len(t) for t in texts], np.int64)
+        return loss, length
 
 
 def chunked(docs: DataFrame) -> Column:
@@ -353,8 +355,9 @@ def score(docs: DataFrame, model: Model | None, with_text: bool) -> DataFrame:
                 if table is None:
                     table = Chunk(grams, np.concatenate([*p, np.zeros(0)]))
                     grams, p = [], []
-                strings = [zlib.decompress(x.as_py()).decode() for x in part.column("packed")]
-                loss, length = table.losses(strings)
+                strings = (zlib.decompress(x.as_py()).decode() for x in part.column("packed"))
+                strings = [*strings] if with_text else strings
+                loss, length = table.losses(strings, b - a)
                 out = {"kept": part.column("kept"), "loss": pa.array(loss), "length": pa.array(length)}
                 if with_text:
                     gone = part.column("none").to_numpy(zero_copy_only=False).astype(bool)

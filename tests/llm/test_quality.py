@@ -82,6 +82,7 @@ def test_rows_come_back_whole(spark):
 
 def test_more_characters_than_numbers(monkeypatch):
     monkeypatch.setattr(ngram_quality, "NUMBERS", 8)
+    monkeypatch.setattr(ngram_quality, "WAITING", 10)
     texts = [some_text(i, 40, "abcdefghijklmnopqrst") for i in range(6)]
     got, tally = Counter(), ngram_quality.Tally()
     batches = [b for i, t in enumerate(texts) for b in tally.add(i % 2, list(ngram_quality.pieces(t)))] + [*tally.take()]
@@ -98,6 +99,19 @@ def test_more_characters_than_numbers(monkeypatch):
 def test_a_base_is_found_that_tells_grams_apart():
     grams = [chr(a) + chr(b) + "ab" for a in range(256, 400) for b in range(500, 540)]
     p = np.random.default_rng(1).random(len(grams)) + 0.1
-    loss, length = ngram_quality.Chunk(grams, p).losses([])
+    loss, length = ngram_quality.Chunk(grams, p).losses([], 0)
     assert len(loss) == len(length) == 0
     assert ngram_quality.Chunk(grams + grams[:9], np.concatenate([p, p[:9]])).places.is_unique
+
+
+def test_counts_are_folded_and_sent_early(monkeypatch):
+    texts, got = [some_text(i, 90) for i in range(40)], {}
+    for waiting, held in ((1 << 19, 1 << 21), (100, 1 << 21), (100, 500)):
+        monkeypatch.setattr(ngram_quality, "WAITING", waiting)
+        monkeypatch.setattr(ngram_quality, "HELD", held)
+        tally, counts = ngram_quality.Tally(), Counter()
+        for b in [b for i, t in enumerate(texts) for b in tally.add(i // 20, list(ngram_quality.pieces(t)))] + [*tally.take()]:
+            for chunk, gram, n in zip(*(c.to_pylist() for c in b.columns)):
+                counts[chunk, gram] += n
+        got[waiting, held] = counts
+    assert len({frozenset(c.items()) for c in got.values()}) == 1
