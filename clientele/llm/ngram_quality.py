@@ -382,7 +382,9 @@ def judge_quality(
     scores = scores.withColumns({c: F.col("kept").getField(c) for c in ("doc_id", "lang")})
     known = scores.select("doc_id", "lang", "loss", "length").join(trusted_ids.select("doc_id"), "doc_id", "left_semi")
     known = saved(known, "trusted_scores")
+    # One row per language, written: Spark knows their size then and need not deal all documents by language.
     means = known.groupBy("lang").agg((F.sum("loss") / F.greatest(F.sum("length"), F.lit(1))).alias("mean"))
+    means = saved(means, "means")
     everywhere = known.agg((F.sum("loss") / F.greatest(F.sum("length"), F.lit(1))).alias("mean")).first()[0] or 0.0
 
     def rate(loss, length, mean):
@@ -391,7 +393,7 @@ def judge_quality(
     level = F.percentile_approx(rate(F.col("loss"), F.col("length"), F.col("mean")), F.lit(quantile), F.lit(10_000))
     placed = known.join(means.withColumnRenamed("lang", "l"), F.col("lang").eqNullSafe(F.col("l")))
     per_lang = placed.groupBy(F.col("lang").alias("of_lang")).agg(F.first("mean").alias("mean"), level.alias("level"))
-    per_lang = per_lang.where("of_lang IS NOT NULL")
+    per_lang = saved(per_lang.where("of_lang IS NOT NULL"), "levels")
     at_all = placed.agg(level).first()[0]
     top = float("inf") if at_all is None else float(at_all)
     scored = scores.join(per_lang, F.col("lang") == F.col("of_lang"), "left")

@@ -21,12 +21,13 @@ from clientele.session import work_dir
 ORACLE_SQL = None
 
 
-BATCH_BYTES = 8 << 20
+BATCH_BYTES, GROUP_BYTES = 8 << 20, 16 << 20
 
 
 def bounded(spark: SparkSession) -> None:
     """Set for the session, as a stage's result is computed after its function has returned."""
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    spark.conf.set("parquet.block.size", str(GROUP_BYTES))
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

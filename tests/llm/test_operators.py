@@ -6,6 +6,7 @@ import tracemalloc
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -22,6 +23,7 @@ from clientele.llm import (
     url_filter,
 )
 from clientele.llm import queries as registered
+from clientele.session import session_settings
 from tests.llm import brute
 from tests.oracle_check import compare, duck
 
@@ -313,6 +315,17 @@ def test_main_text_of_an_unseen_layout(spark):
     assert html_text.main_text(None, trees) == html_text.main_text("", trees) == ""
 
 
+def test_stages_write_small_row_groups(spark, monkeypatch, tmp_path):
+    corpus_pipeline = pytest.importorskip("corpus_pipeline")
+    monkeypatch.setattr(corpus_pipeline, "GROUP_BYTES", 1 << 20)
+    with session_settings(spark, {"parquet.block.size": "134217728"}):
+        corpus_pipeline.bounded(spark)
+        spark.range(0, 100_000, 1, 1).select(F.sha2(F.col("id").cast("string"), 256).alias("text")).write.parquet(f"{tmp_path}/rows")
+    (file,) = tmp_path.glob("rows/*.parquet")
+    groups = pq.ParquetFile(file).metadata
+    assert max(groups.row_group(i).column(0).total_compressed_size for i in range(groups.num_row_groups)) < 2 << 20
+
+
 def test_pipeline_on_odd_and_empty_tables(spark, odd, tmp_path):
     corpus_pipeline = pytest.importorskip("corpus_pipeline")
     rows = [(100 + k, words(60 + k, 120), "en", "a") for k in range(12)]

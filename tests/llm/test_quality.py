@@ -6,9 +6,11 @@ from collections import Counter, defaultdict
 
 import numpy as np
 import pytest
+from pyspark.sql import functions as F
 
 from clientele.llm import ngram_quality
 from clientele.llm.ngram_quality import CLASSES, ORDER
+from clientele.session import session_settings
 
 
 def brute_losses(trusted, texts):
@@ -115,3 +117,15 @@ def test_counts_are_folded_and_sent_early(monkeypatch):
                 counts[chunk, gram] += n
         got[waiting, held] = counts
     assert len({frozenset(c.items()) for c in got.values()}) == 1
+
+
+def test_documents_of_one_language_are_not_one_task(spark, monkeypatch):
+    monkeypatch.setattr(ngram_quality, "CHUNK", 1 << 12)
+    docs = spark.createDataFrame([(i, "en", some_text(i, 400)) for i in range(80)], "doc_id bigint, lang string, text string")
+    trusted = spark.createDataFrame([(i,) for i in range(0, 80, 4)], "doc_id bigint")
+    # So little is broadcast that estimates are above it, as those of a large table are; nothing is planned anew.
+    with session_settings(spark, {"spark.sql.adaptive.enabled": "false", "spark.sql.autoBroadcastJoinThreshold": "8k"}):
+        for rows in (True, False):
+            judged = ngram_quality.judge_quality(docs, trusted, rows=rows)
+            judged = judged.withColumn("task", F.spark_partition_id()).collect()
+            assert len(judged) == 80 and len({r.task for r in judged}) > 2
