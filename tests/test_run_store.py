@@ -10,10 +10,12 @@ from pyspark.sql import functions as F
 
 from clientele.operators import flatten, merge, runs
 from clientele.plans import load, retention
+from clientele.plans.catalog import QUERIES
 from clientele.plans.run_store import RunStore, fold_into
 from clientele.plans.specs import ENTITIES
 from clientele.session import work_dir
 from clientele.sources import exports
+from clientele.sources.bindings import STAR
 from clientele.sources.versions import VersionedTable, path_exists
 from tests.test_merge import raw
 
@@ -197,6 +199,38 @@ def test_a_removal_that_died_is_taken_up_again(spark, monkeypatch):
     assert [tuple(r) for r in done] == [("x", 1, 0), ("y", 1, 2), ("log", 1, 1)]
 
 
+# --- snapshots of loads ------------------------------------------------------------------
+
+
+def star_tables(spark):
+    """Four rows of every star table that the snapshot queries read."""
+    folder, day = work_dir(spark, "star"), dt.datetime(2024, 1, 1)
+    rows = {
+        "supplier": lambda i: (i, f"S{i}", 1, 1.5),
+        "customer": lambda i: (i, f"C{i}", 1, 1.5, "M"),
+        "orders": lambda i: (i, i, "O", 1.5, day, "1-LOW"),
+        "part": lambda i: (i, f"P{i}", "B", "T", 1, 1.5),
+    }
+    for name, row in rows.items():
+        spark.createDataFrame([row(i) for i in range(4)], STAR[name]).write.parquet(f"{folder}/{name}.parquet")
+    return folder
+
+
+@pytest.mark.parametrize("name, attempt", [("stored_snapshot_delta", 2)])
+def test_a_failed_load_ends_the_snapshot_queries(spark, monkeypatch, name, attempt):
+    folder, plain, tries = star_tables(spark), load.load_entity, []
+
+    def failing(spark, store, entity, *rest):
+        tries.append(entity.name)
+        if tries.count("users") == attempt:
+            raise OSError("No space left on device")
+        return plain(spark, store, entity, *rest)
+
+    monkeypatch.setattr(load, "load_entity", failing)
+    with pytest.raises(load.LoadFailed, match="users: OSError: No space left on device"):
+        QUERIES[name](spark, folder).collect()
+
+
 # --- values that do not fit --------------------------------------------------------------
 
 
