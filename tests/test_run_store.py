@@ -216,7 +216,7 @@ def star_tables(spark):
     return folder
 
 
-@pytest.mark.parametrize("name, attempt", [("stored_snapshot_delta", 2)])
+@pytest.mark.parametrize("name, attempt", [("stored_snapshot_delta", 2), ("stored_snapshots", 1)])
 def test_a_failed_load_ends_the_snapshot_queries(spark, monkeypatch, name, attempt):
     folder, plain, tries = star_tables(spark), load.load_entity, []
 
