@@ -199,6 +199,62 @@ def test_a_removal_that_died_is_taken_up_again(spark, monkeypatch):
     assert [tuple(r) for r in done] == [("x", 1, 0), ("y", 1, 2), ("log", 1, 1)]
 
 
+# --- disk --------------------------------------------------------------------------------
+
+
+def shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {name for name in files.mkString("\n").split("\n") if "/shuffle_" in name}
+
+
+def staged_ids(spark, folder):
+    return sorted(r.id for r in spark.read.parquet(folder).collect())
+
+
+def test_a_load_in_slices_keeps_the_last_row_of_each_key(spark, monkeypatch):
+    store, plain, written = work_dir(spark, "store"), VersionedTable.replace, []
+
+    def watched(table, *frames, tag=None):
+        written.append([f.count() for f in frames])
+        return plain(table, *frames, tag=tag)
+
+    monkeypatch.setattr(load, "AT_ONCE", 1)
+    monkeypatch.setattr(VersionedTable, "replace", watched)
+    records = raw(spark, *[{"id": i % 40, "name": f"n{i}"} for i in range(100)], '{"id": 7', {"name": "no id"})
+    before = shuffle_files(spark)
+    done = load.ordered_load(spark, store, {"tags": records}, ["tags"]).collect()
+    assert [(r.status, r.rows, r.rejected) for r in done] == [("loaded", 100, 2)]
+    assert not shuffle_files(spark) - before
+    ((*slices,),) = written
+    assert len(slices) == load.SLICES and sum(slices) == 40 and max(slices) < 20
+    table = VersionedTable(spark, f"{store}/tags")
+    rows = {r.id: r.name for r in table.current().collect()}
+    assert rows == {i: f"n{i + 80 if i < 20 else i + 40}" for i in range(40)} and table.current().count() == 40
+    assert len(table._live) == 1 and table.version == 1
+
+
+def test_staged_rows_go_once_their_table_is_logged(spark):
+    store = work_dir(spark, "store")
+    tables = {"products": raw(spark, {"id": 1, "price": "free"}, {"id": 2, "price": 3}, {"id": 3}), "tags": raw(spark, {"id": 1})}
+    load.ordered_load(spark, store, tables, ["tags", "products"], run_id=1)
+    assert staged_ids(spark, f"{store}/staged/products/run-1") == [1]
+    assert staged_ids(spark, f"{store}/staged/tags/run-1") == []
+    assert "reason" in spark.read.parquet(f"{store}/staged/tags/run-1").columns
+    assert not path_exists(spark, f"{store}/staged/products/run-1/_SUCCESS")
+    assert VersionedTable(spark, f"{store}/products").current().count() == 3
+
+
+def test_a_cleared_stage_is_not_taken_for_a_whole_one(spark):
+    store, products = work_dir(spark, "store"), raw(spark, {"id": 1, "name": "a", "price": "free"}, {"id": 2, "name": "b"})
+    load.ordered_load(spark, store, {"products": products}, ["products"], run_id=1)
+    load.ordered_load(spark, store, {"products": raw(spark, {"id": 2, "name": "x"})}, ["products"], run_id=2)
+    log = RunStore(spark, store)
+    log.log_progress([load._update(1, log.next_seq(1), "products", "pending")])
+    again = load.resume_load(spark, store, {"products": products}, 1).collect()
+    assert [(r.status, r.rows, r.rejected) for r in again] == [("loaded", 2, 0)]
+    assert {r.id: r.name for r in VersionedTable(spark, f"{store}/products").current().collect()} == {1: "a", 2: "b"}
+
+
 # --- snapshots of loads ------------------------------------------------------------------
 
 
